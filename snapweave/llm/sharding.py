@@ -55,18 +55,20 @@ def hilbert_index(coordinates: list[Column], bits: int = BITS) -> Column:
     return F.element_at(F.transform(F.array(done), lambda x: F.aggregate(order, F.lit(0), lambda acc, s: acc * 2 + F.when(F.element_at(x, s["i"]).bitwiseAND(F.element_at(F.array(*(F.lit(1 << b) for b in range(bits))), s["b"] + 1)) != 0, 1).otherwise(0))), 1)
 
 
-def shard(docs: DataFrame, shards: int = 16, split: int = 20_000) -> DataFrame:
+def shard(docs: DataFrame, shards: int = 16, split: int = 1_000) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard and the curve index of each row of docs."""
     levels = 1 << BITS
     text = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
     length = F.greatest(F.coalesce(F.col("n_chars").cast("long"), F.lit(0)), F.lit(0))
     dims = [F.pmod(F.xxhash64(F.col("source").cast("string")), F.lit(levels)), F.pmod(F.xxhash64(F.col("lang").cast("string")), F.lit(levels)), F.least(F.floor(F.log2(length + 1)), F.lit(levels - 1))]
-    cell = hilbert_index(dims)
+    cell = ((dims[0] * levels + dims[1]) * levels + dims[2]).cast("int")
     tie = F.xxhash64("doc_id", "text")
 
-    per_cell = docs.select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("in_cell"))
-    upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = per_cell.select("cell", (F.ceil(F.col("in_cell") / split)).cast("int").alias("subs"), F.coalesce(F.sum("in_cell").over(upto), F.lit(0)).alias("cell_base"), F.sum("in_cell").over(Window.partitionBy()).alias("all_rows"))
+    # the curve is worked out for each cell, not for each row
+    at = lambda k: F.pmod(F.shiftright("cell", BITS * k), F.lit(levels))
+    per_cell = docs.select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("in_cell")).withColumn("curve", hilbert_index([at(2), at(1), at(0)]))
+    upto = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
+    cells = per_cell.select("cell", "curve", (F.ceil(F.col("in_cell") / split)).cast("int").alias("subs"), F.coalesce(F.sum("in_cell").over(upto), F.lit(0)).alias("cell_base"), F.sum("in_cell").over(Window.partitionBy()).alias("all_rows"))
     cells = F.broadcast(cells)  # 4096 rows at most
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -80,4 +82,4 @@ def shard(docs: DataFrame, shards: int = 16, split: int = 20_000) -> DataFrame:
     rank = F.col("cell_base") + F.col("sub_base") + F.col("within")
     exact = F.expr(f"(cell_base + sub_base + within) * {shards} div all_rows")
     first = F.expr(f"(shard_no * all_rows + {shards - 1}) div {shards}")
-    return ranked.withColumn("shard_no", exact).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard_no").cast("int").alias("shard"), (rank - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("cell").cast("int").alias("curve"))
+    return ranked.withColumn("shard_no", exact).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard_no").cast("int").alias("shard"), (rank - first).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("curve").cast("int").alias("curve"))
