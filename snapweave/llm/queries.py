@@ -6,13 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapweave.llm import bpe, quality, sharding, token_files
+from snapweave.llm import bpe, decontaminate, html_text, near_duplicates, passages, pii, quality, sharding, token_files, warc
+from snapweave.llm.shared import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.join(table(spark, sf_dir, "documents"))
+
+
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.archive(table(spark, sf_dir, "pages"), path)
+    return warc.page_rows(spark, path)
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), digests=True)
 
@@ -29,5 +56,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), token_files.token_folder(spark)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_bpe, op8_hilbert_sharding, op9_quality_rules, op10_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_ngram_jaccard_join, op4_repeated_passages, op5_warc, op6_html_extraction, op7_bpe, op8_hilbert_sharding, op9_quality_rules, op10_token_files)}
 ORACLE_SQL: dict[str, str] = {}

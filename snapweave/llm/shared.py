@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
 U64 = np.uint64
@@ -275,3 +276,22 @@ def encode_units(texts: list[bytes], units: Units) -> tuple[np.ndarray, np.ndarr
     run = np.concatenate(([0], np.cumsum(size)))
     text_first = np.searchsorted(cuts, np.concatenate(([0], text_end)))
     return ids, run[text_first[1:]] - run[text_first[:-1]]
+
+
+KEY_BITS = 1 << 23
+
+
+def key_bitmap(keys: DataFrame, name: str) -> np.ndarray:
+    """A bitmap of fixed size (1 MB) that holds the keys; at most KEY_BITS / 32 rows reach the driver.
+
+    It only saves work: what passes is joined exactly later.
+    """
+    rows = keys.select(F.pmod(F.col(name), F.lit(KEY_BITS)).alias("s")).groupBy(F.expr("s div 32").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s % 32 as int))")).alias("bits")).toArrow()
+    out = np.zeros(KEY_BITS // 32, np.uint32)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
+    return out
+
+
+def passes(bitmap: np.ndarray, keys: pa.Array) -> pa.Array:
+    slot = np.mod(keys.to_numpy(zero_copy_only=False), KEY_BITS)
+    return pa.array((bitmap[slot // 32] >> (slot % 32).astype(np.uint32)) & 1 == 1)
