@@ -19,7 +19,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Exact phrases only; `decontaminate` also finds proximity matches, which SQL can't say."""
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=None)
+    return found.drop("n_near_items")
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,4 +59,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_ngram_jaccard_join, op4_repeated_passages, op5_warc, op6_html_extraction, op7_bpe, op8_hilbert_sharding, op9_quality_rules, op10_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": rf"""with d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select coalesce(cast(item_id as varchar), '') as item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+q as (select distinct item, n, array_to_string(w[i : i + n - 1], ' ') as win from (select item, w, least(10, len(w)) as n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)),
+x as (select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') as win from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from q))),
+h as (select doc_id, i, x.n, item from x join q on x.win = q.win and x.n = q.n),
+c as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from h) group by 1),
+t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from h) group by 1)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated from d left join c on c.doc_id = d.doc_id left join t on t.doc_id = d.doc_id""",
+    "op3_ngram_jaccard_join": rf"""with recursive d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 75 * (nx.n + ny.n - c)),
+u as (select x as a, y as b from e union all select y, x from e),
+r as (select doc_id as id, doc_id as root from d union select u.b, r.root from r join u on u.a = r.id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, min(r.root) as component_id from d left join n on n.doc_id = d.doc_id join r on r.id = d.doc_id group by all""",
+    "op5_warc": """with p as (select page_id, coalesce(html, '') as h, sha1(coalesce(html, '')) as x from pages), f as (select *, min(page_id) over (partition by h) as first_id from p)
+select page_id, strlen(h) as payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((cast('0x' || substr(x, 1 + 10 * (i // 8), 10) as bigint) >> cast(35 - 5 * (i % 8) as bigint)) & 31 as int) + 1, 1)), '') as payload_digest, case when page_id = first_id then 'response' else 'revisit' end as record_type, case when page_id <> first_id then first_id end as refers_to from f""",
+}
