@@ -12,8 +12,10 @@ Exact links between word-shingle sets with 100 * |A & B| >= 75 * |A | B|, and th
    of 4/3, so sets two bands apart can't be linked); these pairs are verified exactly and give components.
 4. Groups of three or more with members in different components are compared in full: a pair whose sizes
    fit goes through the bitmaps - each bit that only one of them has is a shingle that the other lacks, which
-   bounds the overlap from above - and what passes is verified exactly. Pairs inside one component are not
-   needed, so a large group of near copies costs about its number of members and no link is lost.
+   bounds the overlap from above - and what passes is verified exactly. First this is done in a few rounds in
+   which a group puts forward only pairs that would join its components into a forest; what they link needs no
+   comparison later. Then every pair that still lies in two components and passes is verified. Pairs inside one
+   component are not needed, so a group of near copies costs about its number of members and no link is lost.
 
 Exact means: sorted 64-bit shingle hashes intersected as arrays; a false link needs a hash collision inside
 a pair. Set ids are 64-bit hashes of those arrays as well.
@@ -74,7 +76,7 @@ def band_of(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 def width_of(size: int) -> int:
     """Bits of a signature: a power of two that follows the size."""
-    return 1 << min(12, max(8, int(2 * size).bit_length()))
+    return 1 << min(14, max(9, int(6 * size).bit_length()))
 
 
 def signature(values: np.ndarray) -> bytes:
@@ -319,51 +321,71 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select("id", "label")
 
 
-def _cross_pairs(groups: DataFrame, sets: DataFrame, labels: DataFrame, n: int, percent: int = PERCENT) -> DataFrame:
-    """Pairs of groups' members in different components that sizes and bitmaps let pass."""
-    members = groups.select("sig", F.explode(F.arrays_zip("sets", "sizes")).alias("m")).select("sig", F.col("m.sets").alias("set_id"), F.col("m.sizes").alias("size"))
-    members = members.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    members = stored(members, "members")
-    mixed = members.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    members = members.join(mixed, "sig").join(sets.select("set_id", "bitmap"), "set_id")
-
-    def of_group(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        rows.sort(key=lambda r: r[1])
-        sizes = np.array([r[1] for r in rows], np.int64)
-        label = np.array([r[2] for r in rows], np.int64)
-        ids = np.array([r[0] for r in rows], np.int64)
-        bits = [np.frombuffer(r[3], np.uint8) for r in rows]
-        narrow: dict[int, np.ndarray] = {}
-        for i in range(len(rows)):
-            to = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
-            j = i + 1 + np.flatnonzero(label[i + 1 : to] != label[i])
-            if not len(j):
-                continue
-            width = len(bits[i]) * 8  # the smaller set's, so the others fold down to it
-            if width not in narrow:
-                narrow[width] = np.array([folded(x, width) if len(x) * 8 >= width else np.zeros(width // 8, np.uint8) for x in bits])
-            own, others = bits[i], narrow[width][j]
-            only_own = np.bitwise_count(own & ~others).sum(axis=1)
-            only_other = np.bitwise_count(others & ~own).sum(axis=1)
-            most = np.minimum(sizes[i] - only_own, sizes[j] - only_other)
-            for k in j[most >= least_overlap(sizes[i], sizes[j], percent)]:
-                yield min(int(ids[i]), int(ids[k])), max(int(ids[i]), int(ids[k]))
+def cross_pairs(rows: list[tuple], forest: bool, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs of a group's (set_id, size, label, bitmap) in different components that sizes and bitmaps let pass.
+
+    With forest only those that join components not joined by an earlier pair of this group.
+    """
+    rows = sorted(rows, key=lambda r: (r[1], r[0]))
+    sizes, label, ids = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 0))
+    bits = [np.frombuffer(r[3], np.uint8) for r in rows]
+    narrow: dict[int, np.ndarray] = {}
+    out = []
+    for i in range(len(rows)):
+        to = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
+        j = i + 1 + np.flatnonzero(label[i + 1 : to] != label[i])
+        if not len(j):
+            continue
+        width = len(bits[i]) * 8  # the smaller set's, so the others fold down to it
+        if width not in narrow:
+            narrow[width] = np.array([folded(x, width) if len(x) * 8 >= width else np.zeros(width // 8, np.uint8) for x in bits])
+        own, others = bits[i], narrow[width][j]
+        only_own = np.bitwise_count(own & ~others).sum(axis=1)
+        only_other = np.bitwise_count(others & ~own).sum(axis=1)
+        most = np.minimum(sizes[i] - only_own, sizes[j] - only_other)
+        need = least_overlap(sizes[i], sizes[j], percent)
+        good = most >= need
+        j, spare = j[good], (most - need)[good]
+        for k in j[np.argsort(-spare, kind="stable")] if forest else j:
+            if forest:
+                if label[k] == label[i]:
+                    continue
+                label[label == label[k]] = label[i]
+            out.append((min(int(ids[i]), int(ids[k])), max(int(ids[i]), int(ids[k]))))
+    return out
+
+
+def _cross(members: DataFrame, sets: DataFrame, labels: DataFrame, n: int, forest: bool, percent: int = PERCENT) -> DataFrame:
+    """Candidate pairs of the groups in members (sig, set_id, size) that have more than one component."""
+    labelled = stored(members.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id")), "members")
+    mixed = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
+    rows = labelled.join(mixed, "sig").join(sets.select("set_id", "bitmap"), "set_id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, out = None, [], set()
+        columns = ("sig", "set_id", "size", "label", "bitmap")
+
+        def pairs() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
+
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in ("sig", "set_id", "size", "label", "bitmap")), strict=True):
+            for row in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
                 if row[0] != now:
-                    out.update(of_group(held))
+                    out.update(cross_pairs(held, forest, percent))
                     now, held = row[0], []
                 held.append(row[1:])
             if len(out) > 1 << 16:
-                yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
-                out = set()
-        out.update(of_group(held))
-        yield pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
+                yield pairs()
+                out.clear()
+        out.update(cross_pairs(held, forest, percent))
+        yield pairs()
+
+    found = stored(rows.select("sig", "set_id", "size", "label", "bitmap").repartition(n, "sig").sortWithinPartitions("sig").mapInArrow(run, "a long, b long").distinct(), "cross-pairs")
+    discard(labelled)
+    return found
 
-    return members.select("sig", "set_id", "size", "label", "bitmap").repartition(n, "sig").sortWithinPartitions("sig").mapInArrow(run, "a long, b long")
+
+FORESTS = 3  # rounds that put forward forests, before the full one
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -377,16 +399,25 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked = _verified(plain, sets, pairs, "links", percent)
     labels = components(linked)
     groups = found.where("sig is not null").groupBy("sig").agg(F.any_value("sets").alias("sets"), F.any_value("sizes").alias("sizes"))
-    more = stored(_cross_pairs(groups, sets, labels, n, percent).distinct(), "cross-pairs").join(pairs, ["a", "b"], "left_anti")
-    more = stored(more, "cross-pairs")
-    if not more.isEmpty():
-        across = _verified(plain, sets, more, "cross-links", percent)
-        labels = components(linked.unionByName(across))
+    members = groups.select("sig", F.explode(F.arrays_zip("sets", "sizes")).alias("m")).select("sig", F.col("m.sets").alias("set_id"), F.col("m.sizes").alias("size"))
+    members = stored(members, "group-members")
+    tried = pairs
+    forests = FORESTS
+    while True:
+        more = stored(_cross(members, sets, labels, n, forests > 0, percent).join(tried, ["a", "b"], "left_anti"), "cross-new")
+        empty = more.isEmpty()
+        if not empty:
+            linked = linked.unionByName(_verified(plain, sets, more, "cross-links", percent))
+            tried = tried.unionByName(more)
+            labels = components(linked)
+        if not forests:
+            break
+        forests = 0 if empty else forests - 1
     whole = labels.join(sets.select(F.col("set_id").alias("id"), "first_doc"), "id")
     named = whole.groupBy("label").agg(F.min("first_doc").alias("name")).join(labels, "label").select(F.col("id").alias("set_id"), "name")
     per_set = stored(sets.select("set_id", "first_doc").join(named, "set_id", "left").select("set_id", F.coalesce("name", "first_doc").alias("component_id")), "components")
     rows = stored(profiles.select("doc_id", "n_shingles", "set_id"), "sizes")
-    discard(profiles, found, pairs, linked, more, sets)
+    discard(profiles, found, pairs, sets, members)
     return rows.join(per_set, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
