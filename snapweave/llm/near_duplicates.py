@@ -9,7 +9,8 @@ Exact links between word-shingle sets with 100 * |A & B| >= 75 * |A | B|, and th
    these. Equal sets have one id, so copies melt into one before anything is compared.
 3. Prefix entries are packed by tile (a range of shingle hashes) and each tile finds the groups of different
    sets that share an entry. A group links its members to one leader in each size band (a band spans a ratio
-   of 4/3, so sets two bands apart can't be linked); these pairs are verified exactly and give components.
+   of 4/3, so sets two bands apart can't be linked); of these pairs those that the bitmaps let pass are verified exactly
+   and give components.
 4. Groups of three or more with members in different components are compared in full: a pair whose sizes
    fit goes through the bitmaps - each bit that only one of them has is a shingle that the other lacks, which
    bounds the overlap from above - and what passes is verified exactly. First this is done in a few rounds in
@@ -76,7 +77,7 @@ def band_of(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 def width_of(size: int) -> int:
     """Bits of a signature: a power of two that follows the size."""
-    return 1 << min(14, max(9, int(6 * size).bit_length()))
+    return 1 << min(13, max(8, int(3 * size).bit_length()))
 
 
 def signature(values: np.ndarray) -> bytes:
@@ -280,6 +281,24 @@ def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "set_id long, shingles binary")
 
 
+def _close(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that their bitmaps let pass."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, m, y, n in zip(*(b.column(c).to_pylist() for c in ("left", "size_a", "right", "size_b")), strict=True):
+                width = 8 * min(len(x), len(y))
+                x, y = folded(np.frombuffer(x, np.uint8), width), folded(np.frombuffer(y, np.uint8), width)
+                most = min(m - int(np.bitwise_count(x & ~y).sum()), n - int(np.bitwise_count(y & ~x).sum()))
+                ok.append(most >= least_overlap(m, n, percent))
+            yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
+
+    one = sets.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("bitmap").alias("left"))
+    two = sets.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("bitmap").alias("right"))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
+
+
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, name: str, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are linked, by intersecting their sorted arrays."""
     wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct().join(sets.select("set_id", "row_key"), "set_id")
@@ -393,10 +412,10 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark, plain = docs.sparkSession, _plain(docs)
     n = partitions(spark)
     profiles = stored(profile(plain, sketch(plain), percent), "profiles")
-    sets = stored(profiles.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.any_value("bitmap").alias("bitmap")), "sets")
+    sets = stored(profiles.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.any_value("n_shingles").alias("size"), F.any_value("bitmap").alias("bitmap")), "sets")
     found = stored(_groups(_tiles(profiles, 2 * n), n), "groups")
     pairs = stored(found.where("a is not null").select("a", "b").distinct(), "pairs")
-    linked = _verified(plain, sets, pairs, "links", percent)
+    linked = _verified(plain, sets, stored(_close(pairs, sets, percent), "close-pairs"), "links", percent)
     labels = components(linked)
     groups = found.where("sig is not null").groupBy("sig").agg(F.any_value("sets").alias("sets"), F.any_value("sizes").alias("sizes"))
     members = groups.select("sig", F.explode(F.arrays_zip("sets", "sizes")).alias("m")).select("sig", F.col("m.sets").alias("set_id"), F.col("m.sizes").alias("size"))
