@@ -196,7 +196,7 @@ def unique_join(values: Column, separator: str = " | ") -> Column:
 
 def split_list(c: Column, separator: str = ";") -> Column:
     """Parts of a delimited cell, without blanks, sorted."""
-    return F.array_sort(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), re.escape(separator)), F.trim), lambda v: v != ""))
+    return F.array_sort(F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), re.escape(separator)), lambda v: F.trim(v)), lambda v: v != ""))
 
 
 def keyword_count(text: Column, keyword: str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapweave.functions.text import address_key, best_similarity, contains_either, municipality_key, name_key_capacity, name_key_municipal, name_key_reference, name_variants, similarity, address_key_municipal
+from snapweave.operators.lineage import cut_lineage
 from snapweave.operators.spatial import Acceptance, Weights, accept_nearest, combined_score, radius_join
 
 DECISION = ["status", "method", "score", "matches", "candidates"]
@@ -28,12 +29,16 @@ def decision(status: Column | str, method: Column | str, score: Column | float,
 
 
 def cascade(source: DataFrame, key: str, tiers: Sequence[Tier], otherwise: tuple[str, str] = ("unmatched", "no_candidate")) -> DataFrame:
-    """key and decision of every source row. A tier returns key and decision of the rows it decides."""
-    rest, decided = source, []
+    """key and decision of every source row. A tier returns key and decision of the rows it decides.
+
+    What a tier leaves is read by all later ones, so each remainder is a table of its own: plans stay small and
+    no tier runs twice.
+    """
+    rest, decided = cut_lineage(source), []
     for tier in tiers:
-        found = tier(rest).select(key, *DECISION)
+        found = cut_lineage(tier(rest).select(key, *DECISION))
         decided.append(found)
-        rest = rest.join(found.select(key), key, "left_anti")
+        rest = cut_lineage(rest.join(found.select(key), key, "left_anti"))
     out = rest.select(key, *decision(*otherwise, 0.0))
     for d in decided:
         out = out.unionByName(d)

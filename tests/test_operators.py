@@ -76,7 +76,7 @@ def test_merge_master(spark):
     new = spark.createDataFrame([("1", "k1", None, "missing", "A", 1), ("2", "", 25, "parsed", "B", 2), ("", "k3", None, "invalid", "C", 3), ("5", "", None, "missing", "E", 4)], MASTER)
     got = rows(upsert.merge_master(old, new, ["id", "key"], ["capacity"], "status", "o"), "name", "capacity", "status")
     assert got == [("A", 11, "preserved_previous_parsed"), ("B", 25, "parsed"), ("C", 30, "preserved_previous_parsed"), ("E", None, "missing"), ("d", None, "missing")]
-    again = upsert.merge_master(upsert.merge_master(old, new, ["id", "key"], ["capacity"], "status", "o"), new, ["id", "key"], ["capacity"], "status")
+    again = upsert.merge_master(upsert.merge_master(old, new, ["id", "key"], ["capacity"], "status", "o"), new.drop("o"), ["id", "key"], ["capacity"], "status")
     assert rows(again, "name", "capacity", "status") == got
     once = upsert.merge_master(old, new, ["id", "key"], ["capacity"], "status", "o", keep_preserved=False)
     assert ("C", None, "invalid") in rows(once, "name", "capacity", "status")
