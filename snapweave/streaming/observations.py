@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from snapweave.operators.quality import gate
 from snapweave.operators.revisions import assign_revisions
@@ -44,7 +44,7 @@ def latest_of_day(stream: DataFrame, keys: Sequence[str], event_time: str, colum
 def read_log(spark: SparkSession, path: str, schema: StructType, before_batch: int | None = None) -> DataFrame:
     """The log's rows; with before_batch those of earlier batches only. A log that isn't there is empty."""
     try:
-        log = spark.read.schema(StructType([*schema.fields]).add("batch_id", "long")).parquet(path)
+        log = spark.read.schema(StructType([*schema.fields]).add("batch_id", LongType())).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -59,7 +59,7 @@ def append_revisions(stream: DataFrame, path: str, checkpoint: str, source: str,
     `rules` makes a report of a batch (rule, severity, n_violations); an error in it stops the stream before
     the batch is written.
     """
-    schema = StructType([*stream.schema.fields]).add("revision", "int")
+    schema = StructType([*stream.schema.fields]).add("revision", IntegerType())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if rules is not None:

@@ -35,7 +35,7 @@ def test_snapshots_and_changes(two_days):
     first, before, second, after = two_days
     assert {(r["shelter_id"][:5], r["opening_status"], r["change_type"]) for r in before.collect()} == {("ref:R", "開設", "new"), ("ref:R", shelters.NOT_LISTED, "new"), ("web:" + before.where("source = 'unmatched'").first()["shelter_id"][4], "開設", "new")}
     feed = {r["shelter_id"]: r["change_type"] for r in second.tables["changes"].collect()}
-    assert feed["ref:R1"] == "congestion_changed" and feed["ref:R3"] == "opened;opening_status_changed" and "removed_from_listing" in feed.values() and "ref:R2" not in feed
+    assert feed["ref:R1"] == "congestion_changed" and feed["ref:R3"] == "opened;opening_status_changed;address_changed" and "removed_from_listing" in feed.values() and "ref:R2" not in feed
     assert after.count() == 3 and [r["shelter_name"] for r in first.tables["issues"].collect()] == ["謎の施設"]
     assert {r["rule"]: r["n_violations"] for r in first.report.collect()} == {"min_rows": 0, "named_rows": 0, "match_rate": 1, "unique_shelter_id": 0}
     quality.gate(second.report)

@@ -196,7 +196,7 @@ def test_manual_coordinates(spark):
 
 
 def test_municipal_cascade(spark):
-    master = spark.createDataFrame([("s1", "八代市", "第一体育館", "甲町1番", True, "10"), ("s2", "八代市", "第二公民館", "乙町2番", False, "0"), ("s3", "八代市", "第三会館", "丙町3番", True, "5"), ("s4", "八代市", "第三会館", "丁町4番", False, "5"), ("web:5", "八代市", "第五会館", "戊町五番5", False, "9"), ("s6", "八代市", "第五会館", "己町6番", False, "9")], "shelter_id string, municipality string, shelter_name string, address string, is_open boolean, capacity string")
+    master = spark.createDataFrame([("s1", "八代市", "第一体育館", "甲町1番", True, "10"), ("s2", "八代市", "第二公民館", "乙町2番", False, "0"), ("s3", "八代市", "第三会館", "丙町3番", True, "5"), ("s4", "八代市", "第三会館", "丁町4番", False, "5"), ("web:5", "八代市", "第五会館", "戊町五丁目123", False, "9"), ("s6", "八代市", "第五会館", "己町6番", False, "9")], "shelter_id string, municipality string, shelter_name string, address string, is_open boolean, capacity string")
     aliases = spark.createDataFrame([("八代市", "別名", "", "s2", 1), ("八代市", "別名", "庚町7", "s1", 2), ("八代市", "無効", "", "nope", 3)], "municipality string, source_shelter_name string, source_address string, shelter_id string, _ord int")
     source = spark.createDataFrame([(1, "八代市", "別名", "庚町7"), (2, "八代市", "無効", ""), (3, "宇城市", "x", "y"), (4, "八代市", "第一体育館", "八代市甲町1番"), (5, "八代市", "第二公民館", ""), (6, "八代市", "第三会館", ""), (7, "八代市", "第五会館", ""), (8, "八代市", "無関係な名前です", "どこか")], SRC)
     got = {r["row_id"]: (r["status"], r["method"], r["matches"]) for r in linkage.match_municipal(source, master, aliases).collect()}
