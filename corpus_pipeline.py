@@ -23,8 +23,8 @@ def near_duplicate_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
-    return decontaminate.filter_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that hold a benchmark window go, word for word or by proximity."""
+    return decontaminate.filter_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), near=decontaminate.Near())
 
 
 def pii_sanitisation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -178,7 +178,7 @@ INDEX = pa.schema([("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()
 INDEX_DDL = "ids array<long>, counts array<long>, terms binary, offsets binary, positions binary"
 HITS = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("begins", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
 HITS_DDL = "row long, doc_id long, n_words long, begins array<long>, ends array<long>, items array<string>, near_items array<string>"
-ROWS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("n_near_items", pa.int64())])
+ROWS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("n_near_items", pa.int64()), ("near_items", pa.string())])
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -219,9 +219,10 @@ def summarise(hits: DataFrame) -> DataFrame:
                     n, reach = n + max(0, e - max(s, reach)), max(reach, e)
                 covered.append(n)
             items = [sorted(set(r["items"])) for r in rows]
-            yield record(ROWS, {"doc_id": [r["doc_id"] for r in rows], "n_words": [r["n_words"] for r in rows], "n_hit": covered, "n_items": list(map(len, items)), "items_sha256": [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], "contaminated": [n > 0 for n in covered], "n_near_items": [len(set(r["near_items"])) for r in rows]})
+            near = [sorted(set(r["near_items"])) for r in rows]
+            yield record(ROWS, {"doc_id": [r["doc_id"] for r in rows], "n_words": [r["n_words"] for r in rows], "n_hit": covered, "n_items": list(map(len, items)), "items_sha256": [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items], "contaminated": [n > 0 for n in covered], "n_near_items": list(map(len, near)), "near_items": list(map(",".join, near))})
 
-    return hits.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near_items long")
+    return hits.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near_items long, near_items string")
 
 
 def query_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 8 * BLOCK_BYTES) -> Iterator[Queries]:
@@ -255,16 +256,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, n
     return out
 
 
-def filter_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 8 * BLOCK_BYTES) -> DataFrame:
-    """The rows of docs without any benchmark window, with all their columns."""
+def filter_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 8 * BLOCK_BYTES, near: Near | None = None) -> DataFrame:
+    """The rows of docs without any benchmark window, and with `near` without any proximity match, with all their columns."""
     for queries in query_blocks(benchmark, window, block_bytes):
 
         def run(batches: Iterable[pa.RecordBatch], queries: Queries = queries) -> Iterator[pa.RecordBatch]:
             for b in blocks(batches, "text"):
                 index = Postings.of(utf8(b, "text"))
-                _, start, _ = match(index, queries, near=None)
+                _, start, close = match(index, queries, near)
                 clean = np.ones(b.num_rows, bool)
                 clean[index.document(start)] = False
+                clean[close[:, 0]] = False
                 yield b.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 from snapweave.llm import decontaminate as d
 
@@ -71,3 +72,53 @@ def test_proximity(spark, make_docs):
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     rows = {r["doc_id"]: r for r in d.decontaminate(make_docs([(1, near), (2, "alpha far " + "w " * 50 + "beta"), (3, item)]), bench).collect()}
     assert (rows[1]["n_near_items"], rows[1]["contaminated"]) == (1, False) and rows[2]["n_near_items"] == 0 and rows[3]["n_near_items"] == 1
+
+
+def brute_near(docs, items, slop=3):
+    """Items near each document: of a window's words 8 in 10 within slop of their place around one of its rarest."""
+    wins = set()
+    for name, text in items:
+        w = words(text)
+        for s in range(max(1, len(w) - 9) if w else 0):
+            wins.add((tuple(w[s : s + 10]), str(name) if name is not None else ""))
+    count = Counter(x for win, _ in wins for x in win)
+    out = {}
+    for i, text in docs:
+        w, found = words(text), set()
+        for win, name in wins:
+            n = len(win)
+            spare = n - -(-8 * n // 10)
+            anchors = sorted(range(n), key=lambda k: count[win[k]])[: spare + 1] if n >= 3 else []
+            for k in anchors:
+                for p in (p for p, x in enumerate(w) if x == win[k]):
+                    if sum(win[j] in w[max(0, p - k + j - slop) : max(0, p - k + j + slop + 1)] for j in range(n) if j != k) + 1 >= n - spare:
+                        found.add(name)
+        out[i] = ",".join(sorted(found))
+    return out
+
+
+def test_proximity_query_against_brute_force(spark, tmp_path):
+    from snapweave.llm.queries import QUERIES
+
+    r = random.Random(4)
+    vocabulary = [f"v{k}" for k in range(60)]
+    items = [(k, " ".join(r.choices(vocabulary, k=r.choice([2, 4, 10, 14])))) for k in range(15)]
+    docs = []
+    for k in range(60):
+        w = items[k % 15][1].split()
+        for _ in range(k % 4):
+            at = r.randrange(len(w))
+            w[at : at + r.randint(0, 1)] = [f"new{k}"]
+        docs.append((k, " ".join(r.choices(vocabulary, k=20) + w + r.choices(vocabulary, k=20))))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = {x["doc_id"]: x for x in QUERIES["op2_proximity"](spark, str(tmp_path)).collect()}
+    want = brute_near(docs, items)
+    assert {i: x["near_items"] for i, x in rows.items()} == want
+    assert all(x["n_near_items"] == len(want[i].split(",")) * bool(want[i]) for i, x in rows.items())
+    only = [i for i, x in rows.items() if want[i] and not x["contaminated"]]
+    assert len(only) > 5
+    import corpus_pipeline
+
+    kept = {x["doc_id"] for x in corpus_pipeline.benchmark_decontamination(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()}
+    assert kept == {i for i, x in rows.items() if not x["contaminated"] and not want[i]}
