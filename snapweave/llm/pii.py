@@ -199,7 +199,9 @@ def held_terms(texts: list[bytes], bitmap: np.ndarray) -> set[tuple[int, str]]:
 def disclosing_pairs(docs: DataFrame, found: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
     """entity, term and action of the pairs over the thresholds, with their PMI and IC in bits."""
     each = found.where(F.size("mentions") > 0).select("doc_id", "tie", F.explode("mentions").alias("m")).select("doc_id", "tie", "m.entity", "m.term", "m.left", "m.right")
-    pairs = each.groupBy("entity", "term").agg(F.approx_count_distinct("left").alias("lefts"), F.approx_count_distinct("right").alias("rights")).where((F.col("lefts") >= rules.contexts) & (F.col("rights") >= rules.contexts)).select("entity", "term")
+    # two different values at least, which smallest and largest tell exactly; the counts follow for the rest
+    varied = (F.min("left") < F.max("left")) & (F.min("right") < F.max("right")) if rules.contexts > 1 else F.lit(True)
+    pairs = each.groupBy("entity", "term").agg(varied.alias("varied")).where("varied").select("entity", "term")
     pairs = stored(pairs, "pii-pairs")
     exact = each.join(pairs, ["entity", "term"])
     by_pair = exact.groupBy("entity", "term").agg(F.count_distinct("left").alias("lefts"), F.count_distinct("right").alias("rights"), F.count_distinct("doc_id", "tie").alias("both_docs")).where((F.col("lefts") >= rules.contexts) & (F.col("rights") >= rules.contexts))

@@ -64,6 +64,12 @@ def test_copies_are_no_evidence(make_docs):
     assert {r["spans"] for r in pii.digests(pii.find(docs)).collect()} == {"", "email:21:37"}
 
 
+def test_three_contexts_are_enough_for_every_pair(make_docs):
+    docs = make_docs([(3 * e + k, f"l{e}x{k} term{e} u{e}@corp.example r{e}x{k}") for e in range(2000) for k in range(3)])
+    pairs = pii.disclosing_pairs(docs, pii.scan(docs)).collect()
+    assert sorted(x["term"] for x in pairs) == sorted(f"term{e}" for e in range(2000))
+
+
 def test_empty_table(make_docs):
     docs = make_docs([(1, "x")]).where("doc_id = 2")
     assert pii.digests(pii.find(docs)).count() == 0 and pii.sanitise(docs).count() == 0
