@@ -8,22 +8,27 @@ Exact links between word-shingle sets with 100 * |A & B| >= 75 * |A | B|, and th
    size band, and its prefix: the |A| - ceil(0.75 |A|) + 1 lowest-ranked shingles. Two linked sets share one of
    these. Equal sets have one id, so copies melt into one before anything is compared.
 3. Prefix entries are packed by tile (a range of shingle hashes) and each tile finds the groups of different
-   sets that share an entry. A group links its members to one leader in each size band (a band spans a ratio
-   of 4/3, so sets two bands apart can't be linked); of these pairs those that the bitmaps let pass are verified exactly
-   and give components.
-4. Groups of three or more with members in different components are compared in full: a pair whose sizes
-   fit goes through the bitmaps - each bit that only one of them has is a shingle that the other lacks, which
-   bounds the overlap from above - and what passes is verified exactly. First this is done in a few rounds in
-   which a group puts forward only pairs that would join its components into a forest; what they link needs no
-   comparison later. Then every pair that still lies in two components and passes is verified. Pairs inside one
-   component are not needed, so a group of near copies costs about its number of members and no link is lost.
+   sets that share an entry. Groups of up to four sets give their pairs, larger ones lists of members in chunks.
+4. First each set meets one partner: the set that shares most groups with it, where a large group stands for the
+   one of its members that sits in most and largest groups, which for near copies is the text nearest to their
+   origin. The pair goes through the bitmaps - each bit that only one set has is a shingle that the other lacks, which
+   bounds the overlap from above - and is verified exactly. This joins most of a family of near copies at the cost of
+   one pair a set.
+5. Then rounds follow until nothing is left. The pairs of small groups that still lie in two components are
+   verified. A large group with several components belongs to the family of its most frequent one, and each
+   outlier of a family (a member in another component) is compared with all members in tiles of bounded size: so many
+   outliers and members a task, the members streamed past the outliers' bitmaps. An outlier puts forward its best
+   partners; if there were more than a round allows, another round follows that allows more. The last
+   round leaves nothing out, so every pair that shares a prefix entry and lies in two components was compared, and no
+   link is lost, though a family of near copies costs about its number of members.
 
 Exact means: sorted 64-bit shingle hashes intersected as arrays; a false link needs a hash collision inside
 a pair. Set ids are 64-bit hashes of those arrays as well.
 
 Defined results: null, empty and blank texts have size 0 and no links, and are their own component; a text
-of one to four words has one shingle, the whole; repeated rows share a component; a null doc_id is never a
-component's name unless all its members have none; other columns are ignored or, in `keep_one`, passed on.
+of one to four words has one shingle, the whole; a very long text is one set like any other, its bitmap grows
+with it; repeated rows share a component; a null doc_id is never a component's name unless all its members have
+none; an empty table gives no rows; other columns, whatever their names, are ignored or, in `keep_one`, passed on.
 """
 
 from __future__ import annotations
@@ -32,10 +37,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from snapweave.llm.shared import NOT_SPACE, U64, Words, blocks, discard, key_bitmap, mix, ngram_hashes, partitions, passes, record, stored, utf8
+from snapweave.llm.shared import NOT_SPACE, U64, Words, blocks, discard, free_name, key_bitmap, mix, ngram_hashes, partitions, passes, record, stored, utf8
 
 WORDS = 5
 PERCENT = 75
@@ -70,20 +75,15 @@ def least_overlap(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def band_of(sizes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Size bands: sizes of one band differ by less than the ratio that links allow."""
-    return np.floor(np.log(np.maximum(sizes, 1)) / np.log(100 / percent) + 1e-9).astype(np.int64)
-
-
 def width_of(size: int) -> int:
     """Bits of a signature: a power of two that follows the size."""
-    return 1 << min(13, max(8, int(3 * size).bit_length()))
+    return 1 << max(8, int(8 * size).bit_length())
 
 
 def signature(values: np.ndarray) -> bytes:
     width = width_of(len(values))
     bits = np.zeros(width, np.uint8)
-    bits[((values >> U64(20)) & U64(width - 1)).astype(np.int64)] = 1
+    bits[((values >> U64(8)) & U64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -198,18 +198,10 @@ def _tiles(profiles: DataFrame, tiles: int) -> DataFrame:
     return profiles.select("set_id", "n_shingles", "prefix").mapInArrow(run, "tile long, entries binary")
 
 
-FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64()), ("sets", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))])
-
-
-def _star(sets: np.ndarray, sizes: np.ndarray, bands: np.ndarray) -> list[tuple[int, int]]:
-    """Each member with its band's leader, and each leader with the next band's."""
-    leaders = [int(sets[bands == x].min()) for x in np.unique(bands)]
-    out = []
-    for leader, band in zip(leaders, np.unique(bands), strict=True):
-        out += [(leader, int(x)) for x in sets[bands == band] if x != leader]
-    size = dict(zip(sets.tolist(), sizes.tolist(), strict=True))
-    out += [(x, y) for (x, i), (y, j) in zip(zip(leaders, np.unique(bands), strict=True), zip(leaders[1:], np.unique(bands)[1:], strict=True), strict=False) if j == i + 1 and fits(size[x], size[y])]
-    return out
+SMALL = 4  # sets of a group that gives all its pairs
+CHUNK = 4096  # members in one row of a large group
+FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64()), ("chunk", pa.int32()), ("members", pa.int64()), ("sets", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("times", pa.int64())])
+FOUND_DDL = "a long, b long, sig long, chunk int, members long, sets array<long>, sizes array<long>, times long"
 
 
 def fits(a, b, percent: int = PERCENT):
@@ -218,7 +210,7 @@ def fits(a, b, percent: int = PERCENT):
 
 
 def _groups(tiles: DataFrame, n: int) -> DataFrame:
-    """Candidate pairs (a, b) and groups of three or more sets that share a prefix entry, from packed tiles."""
+    """Pairs (a, b) of small groups and large groups in chunks, with how many entries of the tile each stands for."""
 
     def of_tile(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         entries = np.concatenate([np.frombuffer(p, _ENTRY) for p in parts])
@@ -227,27 +219,29 @@ def _groups(tiles: DataFrame, n: int) -> DataFrame:
         entries = entries[np.concatenate(([True], ~again))]
         cut = np.flatnonzero(np.diff(entries["hash"])) + 1
         begins, ends = np.concatenate(([0], cut)), np.append(cut, len(entries))
-        pairs: set[tuple[int, int]] = set()
-        groups: dict[int, tuple[list[int], list[int]]] = {}
-        two = begins[ends - begins == 2]
-        x, y = entries[two], entries[two + 1]
-        ok = fits(x["size"].astype(np.int64), y["size"].astype(np.int64))
-        pairs.update(zip(x["set"][ok].tolist(), y["set"][ok].tolist(), strict=True))
-        for s, e in zip(begins[ends - begins > 2], ends[ends - begins > 2], strict=True):
-            sets, sizes = entries["set"][s:e], entries["size"][s:e].astype(np.int64)
-            key = set_id(np.ascontiguousarray(sets).view(U64))
-            if key not in groups:
-                groups[key] = sets.tolist(), sizes.tolist()
-                pairs.update(_star(sets, sizes, band_of(sizes)))
-        a, b = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
-        none = [None] * len(pairs)
-        if pairs:
-            yield record(FOUND, {"a": np.minimum(a, b), "b": np.maximum(a, b), "sig": none, "sets": none, "sizes": none})
-        keys = list(groups)
-        for at in range(0, len(keys), 1000):
-            some = keys[at : at + 1000]
+        count = ends - begins
+        sets, sizes = entries["set"], entries["size"].astype(np.int64)
+        found = []
+        for m in range(2, SMALL + 1):
+            at = begins[count == m]
+            for i in range(m):
+                for j in range(i + 1, m):
+                    x, y = at + i, at + j
+                    ok = fits(sizes[x], sizes[y])
+                    found.append(np.column_stack((sets[x[ok]], sets[y[ok]])))
+        pairs, times = np.unique(np.concatenate(found), axis=0, return_counts=True)
+        for s in range(0, len(pairs), 100_000):
+            some = pairs[s : s + 100_000]
             none = [None] * len(some)
-            yield record(FOUND, {"a": none, "b": none, "sig": some, "sets": [groups[k][0] for k in some], "sizes": [groups[k][1] for k in some]})
+            yield record(FOUND, {"a": some[:, 0], "b": some[:, 1], "sig": none, "chunk": none, "members": none, "sets": none, "sizes": none, "times": times[s : s + 100_000]})
+        groups: dict[int, list[int]] = {}
+        for s, e in zip(begins[count > SMALL].tolist(), ends[count > SMALL].tolist(), strict=True):
+            groups.setdefault(set_id(np.ascontiguousarray(sets[s:e]).view(U64)), [s, e, 0])[2] += 1
+        rows = [(sig, (k - s) // CHUNK, e - s, sets[k : min(e, k + CHUNK)], sizes[k : min(e, k + CHUNK)], t) for sig, (s, e, t) in groups.items() for k in range(s, e, CHUNK)]
+        for s in range(0, len(rows), 200):
+            some = list(zip(*rows[s : s + 200], strict=True))
+            none = [None] * len(some[0])
+            yield record(FOUND, {"a": none, "b": none, **dict(zip(("sig", "chunk", "members", "sets", "sizes", "times"), some, strict=True))})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -261,7 +255,7 @@ def _groups(tiles: DataFrame, n: int) -> DataFrame:
         if held:
             yield from of_tile(held)
 
-    return tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long, sig long, sets array<long>, sizes array<long>")
+    return tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(run, FOUND_DDL)
 
 
 def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -301,23 +295,23 @@ def _close(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, name: str, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are linked, by intersecting their sorted arrays."""
-    wanted = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct().join(sets.select("set_id", "row_key"), "set_id")
-    arrays = _arrays(docs, wanted)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sets.select("set_id", "row_key"), "set_id")
+    # a row may stand in the table many times, so its array is taken once
+    arrays = _arrays(docs, wanted).groupBy("set_id").agg(F.first("shingles").alias("shingles"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             left, right = b.column("left").to_pylist(), b.column("right").to_pylist()
             ok = []
             for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                both = np.concatenate((x, y))
+                both = np.concatenate((np.frombuffer(x, U64), np.frombuffer(y, U64)))
                 both.sort()
-                ok.append(int((both[1:] == both[:-1]).sum()) >= least_overlap(len(x), len(y), percent))
+                ok.append(int((both[1:] == both[:-1]).sum()) >= least_overlap(len(x) // 8, len(y) // 8, percent))
             yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
 
     one = arrays.withColumnsRenamed({"set_id": "a", "shingles": "left"})
     two = arrays.withColumnsRenamed({"set_id": "b", "shingles": "right"})
-    return stored(pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct(), name)
+    return stored(pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "a long, b long"), name)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -329,82 +323,139 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near")).select("id", F.least("id", "near").alias("label")), "labels")
     while True:
         near = both.join(now.withColumnsRenamed({"id": "b", "label": "near"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("near").alias("near"))
-        hooked = stored(now.join(near, "id", "left").select("id", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label")), "labels")
-        jump = hooked.select(F.col("id").alias("label"), F.col("label").alias("further"))
-        nxt = stored(hooked.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
-        changed = nxt.where(F.col("label") != F.col("old")).limit(1).count()
-        discard(now, hooked)
+        hooked = now.join(near, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        jump = now.select(F.col("id").alias("label"), F.col("label").alias("further"))
+        moved = hooked.join(jump, "label").select("id", F.least("label", "further").alias("label"), (F.least("label", "further") != F.col("old")).alias("changed"))
+        seen = Observation()
+        nxt = stored(moved.observe(seen, F.count_if("changed").alias("changed")).select("id", "label"), "labels")
+        changed = seen.get["changed"]
+        discard(now)
         now = nxt
         if not changed:
             discard(both)
-            return now.select("id", "label")
-
-
-def cross_pairs(rows: list[tuple], forest: bool, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Pairs of a group's (set_id, size, label, bitmap) in different components that sizes and bitmaps let pass.
-
-    With forest only those that join components not joined by an earlier pair of this group.
-    """
-    rows = sorted(rows, key=lambda r: (r[1], r[0]))
-    sizes, label, ids = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 0))
-    bits = [np.frombuffer(r[3], np.uint8) for r in rows]
-    narrow: dict[int, np.ndarray] = {}
-    out = []
-    for i in range(len(rows)):
-        to = int(np.searchsorted(sizes, sizes[i] * 100 // percent, "right"))
-        j = i + 1 + np.flatnonzero(label[i + 1 : to] != label[i])
-        if not len(j):
-            continue
-        width = len(bits[i]) * 8  # the smaller set's, so the others fold down to it
-        if width not in narrow:
-            narrow[width] = np.array([folded(x, width) if len(x) * 8 >= width else np.zeros(width // 8, np.uint8) for x in bits])
-        own, others = bits[i], narrow[width][j]
-        only_own = np.bitwise_count(own & ~others).sum(axis=1)
-        only_other = np.bitwise_count(others & ~own).sum(axis=1)
-        most = np.minimum(sizes[i] - only_own, sizes[j] - only_other)
-        need = least_overlap(sizes[i], sizes[j], percent)
-        good = most >= need
-        j, spare = j[good], (most - need)[good]
-        for k in j[np.argsort(-spare, kind="stable")] if forest else j:
-            if forest:
-                if label[k] == label[i]:
-                    continue
-                label[label == label[k]] = label[i]
-            out.append((min(int(ids[i]), int(ids[k])), max(int(ids[i]), int(ids[k]))))
-    return out
-
-
-def _cross(members: DataFrame, sets: DataFrame, labels: DataFrame, n: int, forest: bool, percent: int = PERCENT) -> DataFrame:
-    """Candidate pairs of the groups in members (sig, set_id, size) that have more than one component."""
-    labelled = stored(members.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id")), "members")
-    mixed = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("sig")
-    rows = labelled.join(mixed, "sig").join(sets.select("set_id", "bitmap"), "set_id")
+            return now
+
+
+def _partners(members: DataFrame, small: DataFrame) -> DataFrame:
+    """(a, b): each set that shares a group with another, and the one that shares most with it."""
+    weight = members.groupBy("set_id").agg(F.sum(F.col("times") * (F.col("members") - 1)).alias("weight"))
+    leaders = members.join(weight, "set_id").groupBy("sig").agg(F.max_by(F.struct("set_id", "size"), F.struct("weight", "set_id")).alias("leader"))
+    led = members.join(leaders, "sig").select("set_id", "size", "leader.*", "times").toDF("x", "size", "y", "leader_size", "times").where((F.col("x") != F.col("y")) & fitting("size", "leader_size"))
+    each = led.groupBy("x", "y").agg(F.sum("times").alias("times")).unionByName(small.select(F.col("a").alias("x"), F.col("b").alias("y"), "times")).unionByName(small.select(F.col("b").alias("x"), F.col("a").alias("y"), "times"))
+    best = each.groupBy("x").agg(F.max_by("y", F.struct("times", "y")).alias("y"))
+    return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def fitting(a: str, b: str, percent: int = PERCENT):
+    """`fits` as a column."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+OUTLIERS = 2048  # outliers of a family held by one task
+STREAMED = 1 << 16  # about so many members pass them
+
+
+class Outliers:
+    """Outliers of a family with their bitmaps, by the width of these, and the partners that they found."""
+
+    def __init__(self, allowed: int, percent: int):
+        self.allowed, self.percent = allowed, percent
+        self.rows: list[tuple[int, int, int, np.ndarray]] = []
+        self.best: list[list[tuple[int, int]]] = []  # (spare, set_id) of each
+        self.cut = False
+
+    def add(self, set_id: int, label: int, size: int, bitmap: bytes) -> None:
+        self.rows.append((set_id, label, size, np.frombuffer(bitmap, np.uint8)))
+        self.best.append([])
+
+    def meet(self, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, outlying: np.ndarray, bitmaps: list[bytes]) -> None:
+        """Members go past, in order of size."""
+        order = np.argsort(sizes, kind="stable")
+        ids, labels, sizes, outlying = ids[order], labels[order], sizes[order], outlying[order]
+        bits = [np.frombuffer(bitmaps[k], np.uint8) for k in order]
+        narrow: dict[int, tuple[int, np.ndarray]] = {}
+        for mine, (x, label, size, own) in zip(self.best, self.rows, strict=True):
+            low = int(np.searchsorted(sizes, -(-size * self.percent // 100), "left"))
+            high = int(np.searchsorted(sizes, size * 100 // self.percent, "right"))
+            # two outliers meet twice; the smaller of their ids looks
+            j = low + np.flatnonzero((labels[low:high] != label) & (~outlying[low:high] | (ids[low:high] > x)))
+            if not len(j):
+                continue
+            width = min(len(own), len(bits[low]))
+            if width not in narrow:
+                wide = [folded(v, 8 * width) if len(v) >= width else None for v in bits]
+                first = next(k for k, v in enumerate(wide) if v is not None)
+                narrow[width] = first, np.array(wide[first:])
+            first, matrix = narrow[width]
+            others, here = matrix[j - first], folded(own, 8 * width)
+            most = np.minimum(size - np.bitwise_count(here & ~others).sum(axis=1, dtype=np.int64), sizes[j] - np.bitwise_count(others & ~here).sum(axis=1, dtype=np.int64))
+            spare = most - least_overlap(size, sizes[j], self.percent)
+            good = spare >= 0
+            mine += zip(spare[good].tolist(), ids[j[good]].tolist(), strict=True)
+            if len(mine) > self.allowed:
+                mine.sort(reverse=True)
+                del mine[self.allowed :]
+                self.cut = True
+
+    def pairs(self) -> Iterator[tuple[int, int]]:
+        for (x, *_), mine in zip(self.rows, self.best, strict=True):
+            for _, y in mine:
+                yield min(x, y), max(x, y)
+
+
+CROSS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())])
+
+
+def _cross(members: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allowed: int, percent: int = PERCENT) -> DataFrame:
+    """(a, b) of the best partners of outliers that sizes and bitmaps let pass, and whether there were more."""
+    labelled = members.select("sig", "set_id", "size").join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    counted = labelled.groupBy("sig", "label").agg(F.count("*").alias("n")).groupBy("sig").agg(F.max_by("label", F.struct("n", "label")).alias("family"), F.count("*").alias("labels")).where("labels > 1").select("sig", "family")
+    families = stored(labelled.join(counted, "sig").select("family", "set_id", "label", "size").distinct(), "families")
+    tiles = families.groupBy("family").agg(F.ceil(F.count_if(F.col("label") != F.col("family")) / OUTLIERS).cast("int").alias("buckets"), F.ceil(F.count("*") / STREAMED).cast("int").alias("chunks"))
+    rows = families.join(tiles, "family").join(sets.select("set_id", "bitmap"), "set_id")
+    place, outlying = F.xxhash64("set_id"), F.col("label") != F.col("family")
+    columns = ["family", "bucket", "chunk", "streamed", "set_id", "label", "size", "outlying", "bitmap"]
+    held = rows.where(outlying).withColumn("bucket", F.pmod(place, "buckets")).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).withColumn("streamed", F.lit(False)).withColumn("outlying", outlying)
+    passing = rows.withColumn("chunk", F.pmod(F.shiftright(place, 20), "chunks")).withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets").cast("long") - 1))).withColumn("streamed", F.lit(True)).withColumn("outlying", outlying)
+    dealt = held.select(columns).unionByName(passing.select(columns)).repartition(n, "family", "bucket", "chunk").sortWithinPartitions("family", "bucket", "chunk", "streamed", "size")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, out = None, [], set()
-        columns = ("sig", "set_id", "size", "label", "bitmap")
+        now, one, out = None, Outliers(allowed, percent), set()
+        cut = False
 
         def pairs() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({c: pa.array([p[k] for p in out], pa.int64()) for k, c in enumerate("ab")})
+            found = list(out)
+            return record(CROSS, {"a": [p[0] for p in found], "b": [p[1] for p in found], "cut": [cut] * len(found)})
 
         for b in batches:
-            for row in zip(*(b.column(c).to_pylist() for c in columns), strict=True):
-                if row[0] != now:
-                    out.update(cross_pairs(held, forest, percent))
-                    now, held = row[0], []
-                held.append(row[1:])
-            if len(out) > 1 << 16:
-                yield pairs()
-                out.clear()
-        out.update(cross_pairs(held, forest, percent))
+            family, bucket, chunk, streamed, ids, labels, sizes, outlying = (b.column(c).to_numpy(zero_copy_only=False) for c in columns[:-1])
+            bitmaps = b.column("bitmap").to_pylist()
+            new = (family[1:] != family[:-1]) | (bucket[1:] != bucket[:-1]) | (chunk[1:] != chunk[:-1]) | (streamed[1:] != streamed[:-1])
+            edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(family)]))
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                key = (family[s], bucket[s], chunk[s])
+                if key != now:
+                    out.update(one.pairs())
+                    cut |= one.cut
+                    now, one = key, Outliers(allowed, percent)
+                    if len(out) > 1 << 16:
+                        yield pairs()
+                        out.clear()
+                if streamed[s]:
+                    one.meet(ids[s:e], labels[s:e], sizes[s:e], outlying[s:e], bitmaps[s:e])
+                else:
+                    for k in range(s, e):
+                        one.add(int(ids[k]), int(labels[k]), int(sizes[k]), bitmaps[k])
+        out.update(one.pairs())
+        cut |= one.cut
         yield pairs()
 
-    found = stored(rows.select("sig", "set_id", "size", "label", "bitmap").repartition(n, "sig").sortWithinPartitions("sig").mapInArrow(run, "a long, b long").distinct(), "cross-pairs")
-    discard(labelled)
+    found = stored(dealt.mapInArrow(run, "a long, b long, cut boolean"), "cross-pairs")
+    discard(families)
     return found
 
 
-FORESTS = 3  # rounds that put forward forests, before the full one
+ALLOWED = (8, 64, 1 << 62)  # partners that an outlier puts forward, by round
 
 
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -412,31 +463,40 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark, plain = docs.sparkSession, _plain(docs)
     n = partitions(spark)
     profiles = stored(profile(plain, sketch(plain), percent), "profiles")
-    sets = stored(profiles.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.any_value("n_shingles").alias("size"), F.any_value("bitmap").alias("bitmap")), "sets")
+    sets = stored(profiles.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("size"), F.first("bitmap").alias("bitmap")), "sets")
+    rows = stored(profiles.select("doc_id", "n_shingles", "set_id"), "sizes")
     found = stored(_groups(_tiles(profiles, 2 * n), n), "groups")
-    pairs = stored(found.where("a is not null").select("a", "b").distinct(), "pairs")
-    linked = _verified(plain, sets, stored(_close(pairs, sets, percent), "close-pairs"), "links", percent)
+    discard(profiles)
+    small = stored(found.where("a is not null").groupBy("a", "b").agg(F.sum("times").alias("times")), "pairs")
+    groups = found.where("sig is not null").groupBy("sig", "chunk").agg(F.first("members").alias("members"), F.first("sets").alias("sets"), F.first("sizes").alias("sizes"), F.sum("times").alias("times"))
+    members = stored(groups.select("sig", "members", "times", F.explode(F.arrays_zip("sets", "sizes")).alias("m")).select("sig", "members", "times", F.col("m.sets").alias("set_id"), F.col("m.sizes").alias("size")), "group-members")
+    discard(found)
+    tried = _partners(members, small)
+    tried = stored(_close(tried, sets, percent), "partners")
+    linked = _verified(plain, sets, tried, "links", percent)
     labels = components(linked)
-    groups = found.where("sig is not null").groupBy("sig").agg(F.any_value("sets").alias("sets"), F.any_value("sizes").alias("sizes"))
-    members = groups.select("sig", F.explode(F.arrays_zip("sets", "sizes")).alias("m")).select("sig", F.col("m.sets").alias("set_id"), F.col("m.sizes").alias("size"))
-    members = stored(members, "group-members")
-    tried = pairs
-    forests = FORESTS
-    while True:
-        more = stored(_cross(members, sets, labels, n, forests > 0, percent).join(tried, ["a", "b"], "left_anti"), "cross-new")
-        empty = more.isEmpty()
-        if not empty:
-            linked = linked.unionByName(_verified(plain, sets, more, "cross-links", percent))
+    for k, allowed in enumerate(ALLOWED):
+        cross = _cross(members, sets, labels, n, allowed, percent)
+        more = cross.select("a", "b")
+        if not k:
+            of = lambda c: labels.withColumnsRenamed({"id": c, "label": f"label_{c}"})
+            apart = small.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
+            more = more.unionByName(_close(apart, sets, percent))
+        more = stored(more.distinct().join(tried, ["a", "b"], "left_anti"), "cross-new")
+        left = cross.agg(F.coalesce(F.bool_or("cut"), F.lit(False)).alias("cut")).head()["cut"]
+        discard(cross)
+        if not more.isEmpty():
+            fresh = _verified(plain, sets, more, "cross-links", percent)
             tried = tried.unionByName(more)
-            labels = components(linked)
-        if not forests:
+            if not fresh.isEmpty():
+                linked = linked.unionByName(fresh)
+                labels = components(linked)
+        if not left:
             break
-        forests = 0 if empty else forests - 1
     whole = labels.join(sets.select(F.col("set_id").alias("id"), "first_doc"), "id")
     named = whole.groupBy("label").agg(F.min("first_doc").alias("name")).join(labels, "label").select(F.col("id").alias("set_id"), "name")
     per_set = stored(sets.select("set_id", "first_doc").join(named, "set_id", "left").select("set_id", F.coalesce("name", "first_doc").alias("component_id")), "components")
-    rows = stored(profiles.select("doc_id", "n_shingles", "set_id"), "sizes")
-    discard(profiles, found, pairs, sets, members)
+    discard(small, sets, members, labels)
     return rows.join(per_set, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -445,6 +505,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows without a doc_id can't be named, so they stay.
     """
-    kept = join(docs.select("doc_id", "text"), percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.withColumn("_kept", F.col("doc_id").cast("long"))
-    return rows.join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).drop("_kept").select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    name = free_name("kept", docs.columns)
+    kept = join(docs.select("doc_id", "text"), percent).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    rows = docs.withColumn(name, F.col("doc_id").cast("long"))
+    return rows.join(kept, name, "left_semi").dropDuplicates([name]).drop(name).select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

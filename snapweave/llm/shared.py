@@ -1,12 +1,14 @@
 """What several operators of this subpackage share: scratch tables, Arrow blocks, vectorised words.
 
 Words are found and hashed with numpy over whole blocks of UTF-8 bytes, never one by one in Python.
-A word's hash is a polynomial over its bytes modulo 2**64 with a final mix, so that it depends on the
-word alone and is the same in every task.
+A span's hash is two polynomials over its bytes modulo the prime 2**31 - 1, at two fixed points, with a
+final mix; spans of more than LONG bytes take a BLAKE2b digest instead. It depends on the bytes alone
+and is the same in every task. (Modulo a power of two, some long words would collide at every point.)
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -17,14 +19,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 20
+PIECE = 1 << 16  # bytes hashed at a time, so that the arrays stay in the cache
 U64 = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
+PRIME = U64((1 << 31) - 1)
+_POINTS = (1_583_458_089, 784_588_716)
+LONG = 256  # bytes from which a span is hashed by a digest
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for tables that cut lineage: spark.checkpoint.dir; a temporary one only if unset."""
+    """The shared folder for tables that cut lineage: spark.checkpoint.dir.
+
+    Where it is unset, a session on this machine alone (master local) gets a temporary folder; any other is refused,
+    for its executors would write to disks that nobody else sees.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         root = "file://" + tempfile.mkdtemp(prefix="snapweave-")
@@ -56,6 +67,14 @@ def discard(*frames: DataFrame) -> None:
             at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """A column name like `name` that clashes with none of the taken ones, in any case of letters."""
+    taken = {x.lower() for x in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -89,22 +108,35 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def _mod(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for x below 2**62."""
+    x = (x & PRIME) + (x >> U64(31))
+    x = (x & PRIME) + (x >> U64(31))
+    return np.where(x == PRIME, U64(0), x)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i in 0..n at least."""
+_BYTES = tuple(_mod(mix(np.arange(1, 257, dtype=U64) * U64(p)) >> U64(3)) for p in _POINTS)
+_powers: dict[int, tuple] = {}
+
+
+def powers(n: int) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+    """For each point its powers 0..n, at least, and those of its inverse, modulo PRIME."""
     size = 1 << max(16, int(n).bit_length())
     if size not in _powers:
         if size > 1 << 22:
             _powers.clear()
-        both = []
-        for x in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, x, U64)
-            p[0] = 1
-            both.append(np.multiply.accumulate(p))
-        _powers[size] = both[0], both[1]
+        out = []
+        for x in _POINTS:
+            both = []
+            for y in (x, pow(x, -1, int(PRIME))):
+                p = np.ones(size, U64)
+                done, step = 1, y  # p[:done] is ready, step is y**done
+                while done < size:
+                    p[done : 2 * done] = _mod(p[:done] * U64(step))
+                    done, step = 2 * done, step * step % int(PRIME)
+                both.append(p)
+            out.append(tuple(both))
+        _powers[size] = tuple(out)
     return _powers[size]
 
 
@@ -135,13 +167,22 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     at = 0
     while at < len(starts):
         lo = int(starts[at])
-        to = max(at + 1, int(np.searchsorted(ends, lo + BLOCK_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, lo + PIECE, "right")))
         s, e = starts[at:to] - lo, ends[at:to] - lo
         n = int(e.max())
-        up, down = powers(n + 1)
-        total = np.zeros(n + 1, U64)
-        np.cumsum(_BYTES[data[lo : lo + n]] * up[:n], out=total[1:])
-        out[at:to] = mix((total[e] - total[s]) * down[s] + (e - s).astype(U64))
+        piece, sides = data[lo : lo + n], []
+        for table, (up, down) in zip(_BYTES, powers(n + 1), strict=True):
+            total = np.zeros(n + 1, U64)
+            product = table[piece]
+            product *= up[:n]
+            low = product & PRIME
+            product >>= U64(31)
+            product += low  # below 2**32, so sums of 2**30 bytes stay exact
+            np.cumsum(product, out=total[1:])
+            sides.append(_mod(_mod(total[e] - total[s]) * down[s]))
+        out[at:to] = mix(((sides[0] << U64(31)) | sides[1]) ^ mix((e - s).astype(U64)))
+        for k in np.flatnonzero(e - s > LONG).tolist():
+            out[at + k] = int.from_bytes(hashlib.blake2b(piece[s[k] : e[k]].tobytes(), digest_size=8).digest(), "little")
         at = to
     return out
 
@@ -216,7 +257,7 @@ def safe_cuts(data: np.ndarray) -> np.ndarray:
 class Units:
     """Ids of text units for one tokenizer, kept by a worker between blocks and bounded in number.
 
-    `lookup` may raise nothing and drops nothing: when the table is full it starts afresh.
+    Units are found by their hash and taken only if their bytes agree as well. When the table is full it starts afresh.
     """
 
     def __init__(self, encode, limit: int = 1 << 20):
@@ -228,9 +269,11 @@ class Units:
         self.order = np.empty(0, np.int64)
         self.begin = np.zeros(1, np.int64)
         self.ids = np.empty(0, np.int32)
+        self.text_begin = np.zeros(1, np.int64)
+        self.text = np.empty(0, np.uint8)
 
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all units in a row, how many each unit has)."""
+        """(ids of all units in a row, how many each unit has). The units follow one another without a gap."""
         key, first, inverse = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.keys) + len(key) > self.limit:
             self.clear()
@@ -239,21 +282,38 @@ class Units:
         missing = np.flatnonzero(self.keys[at] != key) if len(self.keys) else np.arange(len(key))
         if len(missing):
             raw = data.tobytes()
-            new = self.encode([raw[starts[k] : ends[k]].decode("utf-8") for k in first[missing]])
+            pieces = [raw[starts[k] : ends[k]] for k in first[missing]]
+            new = self.encode([x.decode("utf-8") for x in pieces])
             sizes = np.fromiter(map(len, new), np.int64, len(new))
             slots = len(self.begin) - 1 + np.arange(len(new))
             self.begin = np.concatenate((self.begin, self.begin[-1] + np.cumsum(sizes)))
             self.ids = np.concatenate((self.ids, np.fromiter((x for ids in new for x in ids), np.int32, int(sizes.sum()))))
+            self.text_begin = np.concatenate((self.text_begin, self.text_begin[-1] + np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))))
+            self.text = np.concatenate((self.text, np.frombuffer(b"".join(pieces), np.uint8)))
             keys, order = np.concatenate((self.keys, key[missing])), np.concatenate((self.order, slots))
             by = np.argsort(keys, kind="stable")
             self.keys, self.order = keys[by], order[by]
             at = np.searchsorted(self.keys, key)
         slot = self.order[at][inverse]
+        length = ends - starts
+        if (self.text_begin[slot + 1] - self.text_begin[slot] != length).any() or not self._same(data[starts[0] : ends[-1]], starts - starts[0], length, slot):
+            return self._one_by_one(data.tobytes(), starts, ends)
         begin, size = self.begin[slot], self.begin[slot + 1] - self.begin[slot]
         out_end = np.cumsum(size)
         total = int(out_end[-1]) if len(out_end) else 0
         return self.ids[np.repeat(begin - (out_end - size), size) + np.arange(total)], size
 
+    def _same(self, data: np.ndarray, starts: np.ndarray, length: np.ndarray, slot: np.ndarray) -> bool:
+        return bool((self.text[np.repeat(self.text_begin[slot] - starts, length) + np.arange(len(data))] == data).all())
+
+    def _one_by_one(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Without hashes, for a block in which two units have one."""
+        pieces = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        different = list(dict.fromkeys(pieces))
+        ids = dict(zip(different, self.encode([x.decode("utf-8") for x in different]), strict=True))
+        sizes = np.fromiter((len(ids[x]) for x in pieces), np.int64, len(pieces))
+        return np.fromiter((t for x in pieces for t in ids[x]), np.int32, int(sizes.sum())), sizes
+
 
 def encode_units(texts: list[bytes], units: Units) -> tuple[np.ndarray, np.ndarray]:
     """(all ids in a row, number of ids of each text), through units between safe cuts."""
