@@ -4,20 +4,19 @@ Exact links between word-shingle sets with 100 * |A & B| >= 75 * |A | B|, and th
 
 1. A sketch of fixed size counts shingle hashes over the whole corpus; its coarse counts give every shingle a
    rank, rare first. It is summed in streams and is the only thing sent to all tasks (256 KB).
-2. Each text gives its set size, a set id (hash of the sorted set), a bitmap signature whose width follows the
-   size band, and its prefix: the |A| - ceil(0.75 |A|) + 1 lowest-ranked shingles. Two linked sets share one of
+2. Each text gives its set size, a set id (hash of the sorted set) and its prefix: the |A| - ceil(0.75 |A|) + 1 lowest-ranked shingles. Two linked sets share one of
    these. Equal sets have one id, so copies melt into one before anything is compared.
 3. Prefix entries are packed by tile (a range of shingle hashes) and each tile finds the groups of different
    sets that share an entry. Groups of up to four sets give their pairs, larger ones lists of members in chunks.
-4. First each set meets one partner: the set that shares most groups with it, where a large group stands for the
-   one of its members that sits in most and largest groups, which for near copies is the text nearest to their
-   origin. The pair goes through the bitmaps - each bit that only one set has is a shingle that the other lacks, which
+4. Of each large group the hub is the member that sits in most and largest groups, which for near copies is the text
+   nearest to their origin; all sets in the groups of one hub are its family. One more scan gives bitmaps of the
+   sets that share a group with any other. First each set meets one partner, the hub or the set of a small group with which
+   it shares most entries. The pair goes through the bitmaps - each bit that only one set has is a shingle that the other lacks, which
    bounds the overlap from above - and is verified exactly. This joins most of a family of near copies at the cost of
    one pair a set.
 5. Then rounds follow until nothing is left. The pairs of small groups that still lie in two components are
-   verified. A large group with several components belongs to the family of its most frequent one, and each
-   outlier of a family (a member in another component) is compared with all members in tiles of bounded size: so many
-   outliers and members a task, the members streamed past the outliers' bitmaps. An outlier puts forward its best
+   verified. Each outlier of a family (a set in another component than the hub) is compared with the whole
+   family in tiles of bounded size: so many outliers and members a task, the members streamed past the outliers' bitmaps. An outlier puts forward its best
    partners; if there were more than a round allows, another round follows that allows more. The last
    round leaves nothing out, so every pair that shares a prefix entry and lies in two components was compared, and no
    link is lost, though a family of near copies costs about its number of members.
@@ -76,7 +75,7 @@ def least_overlap(a, b, percent: int = PERCENT):
 
 
 def width_of(size: int) -> int:
-    """Bits of a signature: a power of two that follows the size."""
+    """Bits of a signature: a power of two that follows the size, so that bands of sizes share a width."""
     return 1 << max(8, int(8 * size).bit_length())
 
 
@@ -130,8 +129,8 @@ def sketch(docs: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     return np.minimum(255, np.log2(total + 1) * 7).astype(np.uint8)
 
 
-PROFILE = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("bitmap", pa.binary()), ("prefix", pa.binary())])
-PROFILE_DDL = "doc_id long, row_key long, n_shingles long, set_id long, bitmap binary, prefix binary"
+PROFILE = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("prefix", pa.binary())])
+PROFILE_DDL = "doc_id long, row_key long, n_shingles long, set_id long, prefix binary"
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -144,17 +143,17 @@ def profile(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT) -> DataF
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
-            sizes, ids, maps, prefixes = [], [], [], []
+            sizes, ids, prefixes = [], [], []
             for values in sets_of(utf8(b, "text")):
                 n = len(values)
                 sizes.append(n)
                 if not n:
-                    ids.append(None), maps.append(None), prefixes.append(None)
+                    ids.append(None), prefixes.append(None)
                     continue
                 order = (ranks[(values >> U64(shift)).astype(np.int64)].astype(U64) << U64(56)) | (values >> U64(8))
                 keep = np.argsort(order, kind="stable")[: n + (-percent * n // 100) + 1]
-                ids.append(set_id(values)), maps.append(signature(values)), prefixes.append(values[keep].tobytes())
-            yield record(PROFILE, {"doc_id": b.column("doc_id"), "row_key": b.column("row_key"), "n_shingles": sizes, "set_id": ids, "bitmap": maps, "prefix": prefixes})
+                ids.append(set_id(values)), prefixes.append(values[keep].tobytes())
+            yield record(PROFILE, {"doc_id": b.column("doc_id"), "row_key": b.column("row_key"), "n_shingles": sizes, "set_id": ids, "prefix": prefixes})
 
     return docs.mapInArrow(run, PROFILE_DDL)
 
@@ -258,21 +257,22 @@ def _groups(tiles: DataFrame, n: int) -> DataFrame:
     return tiles.repartition(n, "tile").sortWithinPartitions("tile").mapInArrow(run, FOUND_DDL)
 
 
-def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_id and sorted shingles of the rows whose row_key is wanted: one more scan that hashes only those."""
+def _per_set(docs: DataFrame, wanted: DataFrame, value, name: str) -> DataFrame:
+    """set_id and value(sorted shingles) of the rows whose row_key is wanted: one more scan that hashes only those."""
     bitmap = key_bitmap(wanted, "row_key")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for b in blocks(batches, "text"):
             b = b.filter(passes(bitmap, b.column("row_key")))
-            out = {set_id(v): v.tobytes() for v in sets_of(utf8(b, "text")) if len(v)} if b.num_rows else {}
-            out = {k: v for k, v in out.items() if k not in done}
+            out = {set_id(v): v for v in sets_of(utf8(b, "text")) if len(v)} if b.num_rows else {}
+            out = {k: value(v) for k, v in out.items() if k not in done}
             done.update(out)
             if out:
-                yield pa.RecordBatch.from_pydict({"set_id": pa.array(list(out), pa.int64()), "shingles": pa.array(list(out.values()), pa.binary())})
+                yield pa.RecordBatch.from_pydict({"set_id": pa.array(list(out), pa.int64()), name: pa.array(list(out.values()), pa.binary())})
 
-    return docs.mapInArrow(run, "set_id long, shingles binary")
+    # a row may stand in the table many times, so its value is taken once
+    return docs.mapInArrow(run, f"set_id long, {name} binary").groupBy("set_id").agg(F.first(name).alias(name))
 
 
 def _close(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -296,8 +296,7 @@ def _close(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, name: str, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are linked, by intersecting their sorted arrays."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sets.select("set_id", "row_key"), "set_id")
-    # a row may stand in the table many times, so its array is taken once
-    arrays = _arrays(docs, wanted).groupBy("set_id").agg(F.first("shingles").alias("shingles"))
+    arrays = _per_set(docs, wanted, np.ndarray.tobytes, "shingles")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -336,12 +335,21 @@ def components(edges: DataFrame) -> DataFrame:
             return now
 
 
-def _partners(members: DataFrame, small: DataFrame) -> DataFrame:
-    """(a, b): each set that shares a group with another, and the one that shares most with it."""
+def _families(members: DataFrame) -> DataFrame:
+    """hub, set_id and its size, and how often they share a group: a family is what meets in the groups of one hub.
+
+    The hub of a group is the member that sits in most and largest groups. Two sets that share a large group are in one family.
+    """
     weight = members.groupBy("set_id").agg(F.sum(F.col("times") * (F.col("members") - 1)).alias("weight"))
-    leaders = members.join(weight, "set_id").groupBy("sig").agg(F.max_by(F.struct("set_id", "size"), F.struct("weight", "set_id")).alias("leader"))
-    led = members.join(leaders, "sig").select("set_id", "size", "leader.*", "times").toDF("x", "size", "y", "leader_size", "times").where((F.col("x") != F.col("y")) & fitting("size", "leader_size"))
-    each = led.groupBy("x", "y").agg(F.sum("times").alias("times")).unionByName(small.select(F.col("a").alias("x"), F.col("b").alias("y"), "times")).unionByName(small.select(F.col("b").alias("x"), F.col("a").alias("y"), "times"))
+    hubs = members.join(weight, "set_id").groupBy("sig").agg(F.max_by(F.struct("set_id", "size"), F.struct("weight", "set_id")).alias("hub"))
+    led = members.join(hubs, "sig").select(F.col("hub.set_id").alias("hub"), F.col("hub.size").alias("hub_size"), "set_id", "size", "times")
+    return led.groupBy("hub", "set_id").agg(F.first("hub_size").alias("hub_size"), F.first("size").alias("size"), F.sum("times").alias("times"))
+
+
+def _partners(families: DataFrame, small: DataFrame) -> DataFrame:
+    """(a, b): each set that shares a group with another, and the one that shares most with it."""
+    led = families.where((F.col("hub") != F.col("set_id")) & fitting("size", "hub_size")).select(F.col("set_id").alias("x"), F.col("hub").alias("y"), "times")
+    each = led.unionByName(small.select(F.col("a").alias("x"), F.col("b").alias("y"), "times")).unionByName(small.select(F.col("b").alias("x"), F.col("a").alias("y"), "times"))
     best = each.groupBy("x").agg(F.max_by("y", F.struct("times", "y")).alias("y"))
     return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -406,14 +414,19 @@ class Outliers:
 CROSS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())])
 
 
-def _cross(members: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allowed: int, percent: int = PERCENT) -> DataFrame:
-    """(a, b) of the best partners of outliers that sizes and bitmaps let pass, and whether there were more."""
-    labelled = members.select("sig", "set_id", "size").join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    counted = labelled.groupBy("sig", "label").agg(F.count("*").alias("n")).groupBy("sig").agg(F.max_by("label", F.struct("n", "label")).alias("family"), F.count("*").alias("labels")).where("labels > 1").select("sig", "family")
-    families = stored(labelled.join(counted, "sig").select("family", "set_id", "label", "size").distinct(), "families")
-    tiles = families.groupBy("family").agg(F.ceil(F.count_if(F.col("label") != F.col("family")) / OUTLIERS).cast("int").alias("buckets"), F.ceil(F.count("*") / STREAMED).cast("int").alias("chunks"))
+def _cross(families: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allowed: int, percent: int = PERCENT) -> DataFrame:
+    """(a, b) of the best partners of outliers that sizes and bitmaps let pass, and whether there were more.
+
+    An outlier of a family is a set in another component than the hub.
+    """
+    known = families.select(F.col("hub").alias("family"), "set_id", "size")
+    known = known.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    known = known.join(labels.withColumnsRenamed({"id": "family", "label": "main"}), "family", "left").withColumn("main", F.coalesce("main", "family"))
+    known = stored(known, "labelled")
+    families = known.join(known.where("label <> main").select("family").distinct(), "family")
+    tiles = families.groupBy("family").agg(F.ceil(F.count_if(F.col("label") != F.col("main")) / OUTLIERS).cast("int").alias("buckets"), F.ceil(F.count("*") / STREAMED).cast("int").alias("chunks"))
     rows = families.join(tiles, "family").join(sets.select("set_id", "bitmap"), "set_id")
-    place, outlying = F.xxhash64("set_id"), F.col("label") != F.col("family")
+    place, outlying = F.xxhash64("set_id"), F.col("label") != F.col("main")
     columns = ["family", "bucket", "chunk", "streamed", "set_id", "label", "size", "outlying", "bitmap"]
     held = rows.where(outlying).withColumn("bucket", F.pmod(place, "buckets")).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).withColumn("streamed", F.lit(False)).withColumn("outlying", outlying)
     passing = rows.withColumn("chunk", F.pmod(F.shiftright(place, 20), "chunks")).withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets").cast("long") - 1))).withColumn("streamed", F.lit(True)).withColumn("outlying", outlying)
@@ -451,7 +464,7 @@ def _cross(members: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allow
         yield pairs()
 
     found = stored(dealt.mapInArrow(run, "a long, b long, cut boolean"), "cross-pairs")
-    discard(families)
+    discard(known)
     return found
 
 
@@ -463,7 +476,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark, plain = docs.sparkSession, _plain(docs)
     n = partitions(spark)
     profiles = stored(profile(plain, sketch(plain), percent), "profiles")
-    sets = stored(profiles.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("size"), F.first("bitmap").alias("bitmap")), "sets")
+    sets = stored(profiles.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("size")), "sets")
     rows = stored(profiles.select("doc_id", "n_shingles", "set_id"), "sizes")
     found = stored(_groups(_tiles(profiles, 2 * n), n), "groups")
     discard(profiles)
@@ -471,22 +484,28 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     groups = found.where("sig is not null").groupBy("sig", "chunk").agg(F.first("members").alias("members"), F.first("sets").alias("sets"), F.first("sizes").alias("sizes"), F.sum("times").alias("times"))
     members = stored(groups.select("sig", "members", "times", F.explode(F.arrays_zip("sets", "sizes")).alias("m")).select("sig", "members", "times", F.col("m.sets").alias("set_id"), F.col("m.sizes").alias("size")), "group-members")
     discard(found)
-    tried = _partners(members, small)
-    tried = stored(_close(tried, sets, percent), "partners")
-    linked = _verified(plain, sets, tried, "links", percent)
+    families = stored(_families(members), "families")
+    discard(members)
+    active = small.select(F.explode(F.array("a", "b")).alias("set_id")).unionByName(families.select("set_id")).distinct().join(sets, "set_id").select("set_id", "size", "row_key")
+    active = stored(active, "active")
+    bitmaps = stored(_per_set(plain, active, signature, "bitmap").join(active.select("set_id", "size"), "set_id"), "bitmaps")
+    first = stored(_partners(families, small), "partners")
+    tried = stored(_close(first, bitmaps, percent), "close-pairs")
+    linked = _verified(plain, active, tried, "links", percent)
     labels = components(linked)
     for k, allowed in enumerate(ALLOWED):
-        cross = _cross(members, sets, labels, n, allowed, percent)
+        cross = _cross(families, bitmaps, labels, n, allowed, percent)
         more = cross.select("a", "b")
         if not k:
             of = lambda c: labels.withColumnsRenamed({"id": c, "label": f"label_{c}"})
-            apart = small.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
-            more = more.unionByName(_close(apart, sets, percent))
+            apart = small.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+            apart = stored(apart.join(first, ["a", "b"], "left_anti"), "apart")
+            more = more.unionByName(_close(apart, bitmaps, percent))
         more = stored(more.distinct().join(tried, ["a", "b"], "left_anti"), "cross-new")
         left = cross.agg(F.coalesce(F.bool_or("cut"), F.lit(False)).alias("cut")).head()["cut"]
         discard(cross)
         if not more.isEmpty():
-            fresh = _verified(plain, sets, more, "cross-links", percent)
+            fresh = _verified(plain, active, more, "cross-links", percent)
             tried = tried.unionByName(more)
             if not fresh.isEmpty():
                 linked = linked.unionByName(fresh)
@@ -496,7 +515,7 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     whole = labels.join(sets.select(F.col("set_id").alias("id"), "first_doc"), "id")
     named = whole.groupBy("label").agg(F.min("first_doc").alias("name")).join(labels, "label").select(F.col("id").alias("set_id"), "name")
     per_set = stored(sets.select("set_id", "first_doc").join(named, "set_id", "left").select("set_id", F.coalesce("name", "first_doc").alias("component_id")), "components")
-    discard(small, sets, members, labels)
+    discard(small, sets, families, active, bitmaps, labels)
     return rows.join(per_set, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
