@@ -4,19 +4,20 @@
 texts, every distinct word and the sorted positions of its postings. Positions leave a gap between texts, so
 that no phrase runs from one into the next. `search` looks up every window of the benchmark in every row:
 the windows' posting lists are shifted by the word's offset and intersected from the rarest word on, which
-gives exact phrases; with a tolerance on the offsets it gives proximity matches. Postings never leave the
-task that holds their texts, so there is no shuffle and no hot word or hot source; the index can be written
-as a table and searched again.
+gives exact phrases; with a tolerance on the offsets it gives proximity matches. The index is a stored table, which
+can be searched again; postings stay in rows of one block of texts, so there is no shuffle and no hot word or hot source.
 
-The benchmark goes to the tasks in blocks of at most `block_bytes` of text, so what is sent is bounded
-however large it is; with more than one block the index is stored and searched once for each.
+The benchmark goes to the tasks in blocks of at most `block_bytes` of text, one after the other, so what the driver
+holds and sends is bounded however large it is.
 
 Words are the maximal runs of lower-case ASCII letters, digits and non-ASCII characters after A-Z are
 lower-cased; they are compared by 64-bit hashes of whole words, ten in a row for a window.
 
 Defined results: a null or empty text has no words, no hits and is not contaminated; benchmark rows with
 null or no words have no windows; a null item_id is the empty string; repeated item_ids are one item;
-repeated documents give repeated rows; other columns are ignored or, in `filter_documents`, passed on.
+repeated documents give repeated rows; a very long text is one document in an index row of its own; an empty table of
+documents gives no rows, an empty benchmark no hits; other columns, whatever their names, are ignored or, in
+`filter_documents`, passed on.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ GAP = 64  # free positions between texts; more than a window and its tolerance
 
 @dataclass(frozen=True)
 class Near:
-    """Proximity: of a window's words at least `share` lie within `slop` of their place around its rarest ones."""
+    """Proximity of a window of three words or more: there is a place at which at least `share` of the words, rounded
+    up, each stand within `slop` words of their own offset."""
 
     slop: int = 3
     share: float = 0.8
@@ -70,14 +72,12 @@ class Postings:
 
 @dataclass
 class Queries:
-    """Windows of benchmark items: hashes (one row each, padded), lengths, the item that each is of, and the order of
-    each window's words by how rare they are in the benchmark."""
+    """Windows of benchmark items: hashes (one row each, padded), lengths and the item that each is of."""
 
     hashes: np.ndarray
     lengths: np.ndarray
     item: np.ndarray
     names: list[str]
-    rarest: np.ndarray
 
     @classmethod
     def of(cls, items: list[tuple[str, bytes]], window: int = WINDOW) -> Queries:
@@ -98,17 +98,63 @@ class Queries:
             keep = np.unique(key, axis=0, return_index=True)[1]
             hashes, lengths, item = hashes[keep], np.array(lengths)[keep], np.array(item)[keep]
         lengths = np.asarray(lengths, np.int64)
-        _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-        counts = np.where(np.arange(window) < lengths[:, None], counts[inverse.reshape(hashes.shape)], np.iinfo(np.int64).max)
-        return cls(hashes, lengths, np.asarray(item, np.int64), names, np.argsort(counts, axis=1, kind="stable"))
+        return cls(hashes, lengths, np.asarray(item, np.int64), names)
 
 
-def _holds(sorted_places: np.ndarray, wanted: np.ndarray, slop: int = 0) -> np.ndarray:
-    """Whether a value within slop of each wanted place is among the sorted ones."""
-    at = np.searchsorted(sorted_places, wanted - slop)
+def _holds(sorted_places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Whether each wanted place is among the sorted ones."""
+    at = np.searchsorted(sorted_places, wanted)
     at[at == len(sorted_places)] = 0
-    found = sorted_places[at]
-    return (found >= wanted - slop) & (found <= wanted + slop)
+    return sorted_places[at] == wanted
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... size[0] of them, then those of the next."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def match_near(index: Postings, queries: Queries, term: np.ndarray, there: np.ndarray, order: np.ndarray, near: Near) -> np.ndarray:
+    """(document, item) of the proximity matches.
+
+    Of a window's words at most `spare` may miss, so of its spare + 2 rarest ones two stand within 2 * slop of one
+    another's offset. Only windows with two such postings are looked at word by word.
+    """
+    need = np.ceil(near.share * queries.lengths - 1e-9).astype(np.int64)
+    spare = queries.lengths - need
+    some = np.flatnonzero((there.sum(axis=1) >= need) & (queries.lengths >= 3))
+    out: set[tuple[int, int]] = set()
+    if not len(some):
+        return np.empty((0, 2), np.int64)
+    size = np.diff(index.offsets)
+    window, diagonal, word = [], [], []
+    missing = queries.lengths - there.sum(axis=1)  # these would be the rarest
+    for rank in range(int((spare - missing)[some].max()) + 2):
+        q = some[(spare - missing)[some] + 2 > rank]
+        k = order[q, rank]
+        t = term[q, k]
+        n = size[t].astype(np.int64)
+        window.append(np.repeat(q, n))
+        word.append(np.repeat(k, n))
+        diagonal.append(index.positions[_ranges(index.offsets[t].astype(np.int64), n)] - np.repeat(k, n))
+    window, diagonal, word = (np.concatenate(x).astype(np.int64) for x in (window, diagonal, word))
+    by = np.lexsort((diagonal, window))
+    window, diagonal, word = window[by], diagonal[by], word[by]
+    # between two such postings others may lie, but then the next one is as near
+    at = np.flatnonzero((window[1:] == window[:-1]) & (diagonal[1:] - diagonal[:-1] <= 2 * near.slop))
+    begins = np.flatnonzero(np.concatenate(([True], window[at[1:]] != window[at[:-1]]))) if len(at) else at
+    for s, e in zip(begins.tolist(), np.append(begins[1:], len(at)).tolist(), strict=False):
+        some = at[s:e]
+        q = int(window[some[0]])
+        places = (diagonal[some][:, None] + np.arange(-near.slop, near.slop + 1)).ravel()
+        held = np.zeros(len(places), np.int64)
+        for k in order[q, : there[q].sum()].tolist():
+            mine = index.list_of(term[q, k])
+            j = np.searchsorted(mine, places + (k - near.slop))
+            held += (j < len(mine)) & (mine[np.minimum(j, len(mine) - 1)] <= places + (k + near.slop))
+        good = (held >= need[q]).reshape(len(some), -1).any(axis=1)
+        out.update((d, int(queries.item[q])) for d in index.document(diagonal[some][good] + word[some][good]).tolist())
+    return np.array(sorted(out), np.int64).reshape(-1, 2)
 
 
 def match(index: Postings, queries: Queries, near: Near | None = Near()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +169,7 @@ def match(index: Postings, queries: Queries, near: Near | None = Near()) -> tupl
     size = np.where(there, np.diff(index.offsets)[term], np.iinfo(np.int32).max)
     order = np.argsort(size, axis=1, kind="stable")
     present = there.sum(axis=1)
-    windows, starts, close = [], [], []
+    windows, starts, close = [], [], np.empty((0, 2), np.int64)
     for q in np.flatnonzero(present == queries.lengths):
         first = order[q, 0]
         at = index.list_of(term[q, first]) - first
@@ -135,25 +181,8 @@ def match(index: Postings, queries: Queries, near: Near | None = Near()) -> tupl
             windows.append(np.full(len(at), q))
             starts.append(at.astype(np.int64))
     if near:
-        spare = queries.lengths - np.ceil(near.share * queries.lengths).astype(np.int64)
-        for q in np.flatnonzero((present >= queries.lengths - spare) & (queries.lengths >= 3)):
-            # at most `spare` words are missing, so one of the spare + 1 rarest is there
-            for first in queries.rarest[q, : spare[q] + 1]:
-                if not there[q, first]:
-                    continue
-                at = index.list_of(term[q, first]) - first
-                missed = np.full(len(at), queries.lengths[q] - present[q])
-                for k in order[q, : present[q]]:
-                    if k != first:
-                        missed += ~_holds(index.list_of(term[q, k]), at + k, near.slop)
-                        alive = missed <= spare[q]
-                        at, missed = at[alive], missed[alive]
-                        if not len(at):
-                            break
-                if len(at):
-                    doc = np.unique(index.document(at + first))
-                    close.append(np.column_stack((doc, np.full(len(doc), queries.item[q]))))
-    return (np.concatenate(windows) if windows else none), (np.concatenate(starts) if starts else none), (np.unique(np.concatenate(close), axis=0) if close else np.empty((0, 2), np.int64))
+        close = match_near(index, queries, term, there, order, near)
+    return (np.concatenate(windows) if windows else none), (np.concatenate(starts) if starts else none), close
 
 
 def hits_by_document(index: Postings, queries: Queries, near: Near | None = Near()) -> list[dict]:
@@ -242,17 +271,21 @@ def query_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int =
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: Near | None = Near(), block_bytes: int = 8 * BLOCK_BYTES) -> DataFrame:
     """One row for each document: its words, hit words, items with exact windows, and near items."""
-    parts = list(query_blocks(benchmark, window, block_bytes))  # 80 bytes for each window
-    index = build_index(docs)
-    if len(parts) <= 1:
-        return summarise(search(index, parts[0] if parts else Queries.of([], window), near))
-    index = stored(index.withColumn("row", F.monotonically_increasing_id()), "postings")
-    hits = search(index, parts[0], near)
-    for q in parts[1:]:
-        hits = hits.unionByName(search(index, q, near))
-    merged = hits.groupBy("row", "doc_id").agg(F.max("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("begins", "ends", "items", "near_items")))
-    out = stored(summarise(merged), "contamination")
-    discard(index)
+    index = stored(build_index(docs).withColumn("row", F.monotonically_increasing_id()), "postings")
+    hits: list[DataFrame] = []
+    for queries in query_blocks(benchmark, window, block_bytes):
+        hits.append(stored(search(index, queries, near), "hits"))
+    if not hits:
+        hits.append(stored(search(index, Queries.of([], window), near), "hits"))
+    if len(hits) == 1:
+        found = hits[0]
+    else:
+        found = hits[0]
+        for more in hits[1:]:
+            found = found.unionByName(more)
+        found = found.groupBy("row", "doc_id").agg(F.max("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("begins", "ends", "items", "near_items")))
+    out = stored(summarise(found), "contamination")
+    discard(index, *hits)
     return out
 
 

@@ -19,13 +19,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns that SQL can say, of exact phrases; `op2_proximity` is the whole result."""
-    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=None)
-    return found.drop("n_near_items", "near_items")
-
-
-def op2_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact phrases and proximity matches of each document, with the items of both."""
+    """Exact phrases, and proximity matches in the last two columns."""
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
@@ -63,7 +57,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(table(spark, sf_dir, "documents"), token_files.token_folder(spark)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_decontamination, op2_proximity, op3_ngram_jaccard_join, op4_repeated_passages, op5_warc, op6_html_extraction, op7_bpe, op8_hilbert_sharding, op9_quality_rules, op10_token_files)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_ngram_jaccard_join, op4_repeated_passages, op5_warc, op6_html_extraction, op7_bpe, op8_hilbert_sharding, op9_quality_rules, op10_token_files)}
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -73,8 +67,16 @@ q as (select distinct item, n, array_to_string(w[i : i + n - 1], ' ') as win fro
 x as (select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') as win from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from q))),
 h as (select doc_id, i, x.n, item from x join q on x.win = q.win and x.n = q.n),
 c as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from h) group by 1),
-t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from h) group by 1)
-select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated from d left join c on c.doc_id = d.doc_id left join t on t.doc_id = d.doc_id""",
+t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from h) group by 1),
+v as (select row_number() over () as v, item, n, cast(ceil(0.8 * n) as int) as need, string_split(win, ' ') as w from q where n >= 3),
+k as (select v, n, need, item, unnest(w) as word, unnest(range(n)) as k from v),
+o as (select doc_id, unnest(w) as word, unnest(range(len(w))) as p from d),
+f as (select word, count(*) as c from o group by 1),
+r as (select k.*, row_number() over (partition by v order by coalesce(c, 0), k) as rarest from k left join f on f.word = k.word),
+y as (select distinct v, need, item, doc_id, p - k + unnest(range(-3, 4)) as place from r join o on o.word = r.word where rarest <= n - need + 1),
+z as (select y.v, y.need, y.item, y.doc_id, place from y join k on k.v = y.v join o on o.doc_id = y.doc_id and o.word = k.word and o.p between place + k - 3 and place + k + 3 group by all having count(distinct k) >= y.need),
+m as (select doc_id, count(*) as n_near_items, string_agg(item, ',' order by item) as near_items from (select distinct doc_id, item from z) group by 1)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, coalesce(n_near_items, 0) as n_near_items, coalesce(near_items, '') as near_items from d left join c on c.doc_id = d.doc_id left join t on t.doc_id = d.doc_id left join m on m.doc_id = d.doc_id""",
     "op3_ngram_jaccard_join": rf"""with recursive d as (select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
 s as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from d where len(w) > 0)),
 n as (select doc_id, count(*) as n from s group by 1),
