@@ -6,25 +6,26 @@ then asks which other terms give an entity away: for every term within `reach` w
 
     PMI(term; entity) = log2( p(entity | term) / p(entity) ),   IC(entity) = -log2 p(entity)
 
-with probabilities from document counts of the whole corpus. A term whose PMI is at least `remove` times the
-entity's information content is removed, from `generalise` times on it is generalised. Copies are no
-evidence: a pair must be seen in `contexts` different neighbourhoods on its left and on its right.
-
-Shape of the work: one scan finds base spans and the few terms around them; pairs are counted with map-side
-combining, so a hot entity or a group of copies shrinks before the shuffle; only pairs with enough contexts
-go on. Their terms' document counts come from a second scan, which keeps a word only if a bitmap of fixed
-size may hold it, and an exact join follows.
-
-Defined results: a null or empty text has no spans; text with spans of two kinds that overlap keeps both;
-repeated rows repeat; a term is only marked in documents that hold its entity nearby; columns other than
-doc_id and text are ignored by `find` and passed on by `sanitise`.
+with probabilities from counts of different texts in the whole corpus. A term whose PMI is at least `remove` times the
+entity's information content is removed, from `generalise` times on it is generalised, wherever it occurs. Copies are
+no evidence: equal texts count once, and a pair must be seen in `contexts` texts that differ in each of two sketches
+(the smallest hash of the text's word triples, in two orders), which near copies mostly share.
+
+Shape of the work: one scan finds base spans; entities are counted, and only those in enough different texts go on. A
+second scan takes the terms around them, pairs are counted with map-side combining. Two more scans count the texts
+of the candidate terms and mark the disclosing ones; both keep a word only if a bitmap of fixed size may hold it,
+and an exact join follows. What is known of a text is keyed by its hash, so rows of equal texts share it.
+
+Defined results: a null or empty text has no spans; a very long text is treated like any other; text with spans of
+two kinds that overlap keeps both, but a term inside a base span is not marked; repeated rows repeat and change no
+count, nor does a null doc_id; an empty table gives no rows; columns other than doc_id and text, whatever their names,
+are ignored by `find` and passed on by `sanitise`.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapweave.llm.shared import NOT_SPACE, Words, blocks, byte_class, hash_spans, record, stored, utf8
+from snapweave.llm.shared import NOT_SPACE, U64, Words, blocks, byte_class, code_points, discard, free_name, hash_spans, key_bitmap, mix, ngram_hashes, passes, record, stored, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("generalise", "remove")
@@ -53,7 +54,7 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 @dataclass(frozen=True)
 class Disclosure:
-    reach: int = 6
+    reach: int = 50
     contexts: int = 3
     generalise: float = 0.90
     remove: float = 0.97
@@ -110,78 +111,111 @@ _WORD = re.compile(r"[^\x09-\x0D ]+")
 _EDGES = ".,;:!?\"'()[]{}<>"
 
 
-def mentions(text: str, spans: list[tuple[str, int, int]], rules: Disclosure) -> list[dict]:
-    """Terms near each base span: entity, term, its place, and hashes of the words left and right of the span."""
-    out = []
-    merged = sorted((s, e) for _, s, e in spans)
-    begins, reached = [s for s, _ in merged], list(accumulate((e for _, e in merged), max))
+class Outside:
+    """Whether a range of a text is free of its base spans."""
 
-    def overlaps(s: int, e: int) -> bool:
-        k = bisect_left(begins, e)
-        return k > 0 and reached[k - 1] > s
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        merged = sorted((s, e) for _, s, e in spans)
+        self.begins, self.reached = [s for s, _ in merged], list(accumulate((e for _, e in merged), max))
 
+    def __call__(self, start: int, end: int) -> bool:
+        k = bisect_left(self.begins, end)
+        return k == 0 or self.reached[k - 1] <= start
+
+
+def mentions(text: str, spans: list[tuple[str, int, int]], rules: Disclosure) -> set[tuple[str, str]]:
+    """(entity, term) of the terms within reach of each base span."""
+    out: set[tuple[str, str]] = set()
+    outside = Outside(spans)
+    words = [m.span() for m in _WORD.finditer(text)]
+    begins, ends = [s for s, _ in words], [e for _, e in words]
     for kind, start, end in spans:
-        low, high = max(0, start - 40 * rules.reach), min(len(text), end + 40 * rules.reach)
-        before = [m for m in _WORD.finditer(text, low, start) if m.start() > low or not low][-rules.reach :]
-        after = [m for m in _WORD.finditer(text, end, high) if m.end() < high or high == len(text)][: rules.reach]
-        left, right = (int.from_bytes(hashlib.blake2b(" ".join(m[0] for m in side).encode(), digest_size=8).digest(), "little", signed=True) for side in (before, after))
         entity = entity_of(kind, text[start:end])
-        for m in (*before, *after):
-            bare = m[0].strip(_EDGES)
-            if len(bare) < rules.min_chars or overlaps(*m.span()):
-                continue
-            s = m.start() + m[0].index(bare)
-            out.append({"entity": entity, "term": bare.encode().lower().decode(), "start": s, "end": s + len(bare), "left": left, "right": right})
+        before, after = bisect_right(ends, start), bisect_left(begins, end)
+        for s, e in (*words[max(0, before - rules.reach) : before], *words[after : after + rules.reach]):
+            bare = text[s:e].strip(_EDGES)
+            if len(bare) >= rules.min_chars and outside(s, e):
+                out.add((entity, bare.encode().lower().decode()))
     return out
 
 
-_MENTION = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("left", pa.int64()), ("right", pa.int64())])
-FOUND = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("base", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))), ("mentions", pa.list_(_MENTION))])
-FOUND_DDL = "doc_id long, tie long, base array<struct<kind:string,start:long,end:long>>, mentions array<struct<entity:string,term:string,start:long,end:long,left:long,right:long>>"
+def sketches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Two minimum hashes over the word triples of each text; of fewer words, over what there is."""
+    w = Words(texts, NOT_SPACE, lower=True)
+    out = np.zeros((2, len(texts)), np.int64)
+    for k in range(len(texts)):
+        words = w.hash[w.first[k] : w.first[k + 1]]
+        grams = ngram_hashes(words, min(3, len(words))) if len(words) else words
+        if len(grams):
+            out[0, k], out[1, k] = grams.min().view(np.int64), mix(grams ^ U64(0x5851F42D4C957F2D)).min().view(np.int64)
+    return out[0], out[1]
 
 
-def scan(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
-    """Base spans of every text and the terms around them; `tie` is a hash of the text."""
+FOUND = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("base", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))), ("entities", pa.list_(pa.string())), ("one", pa.int64()), ("two", pa.int64())])
+FOUND_DDL = "doc_id long, tie long, base array<struct<kind:string,start:long,end:long>>, entities array<string>, one long, two long"
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    """doc_id, text and `tie`, a hash of the text."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+
+
+def scan(docs: DataFrame) -> DataFrame:
+    """Base spans of every text, its entities and, where it has any, its sketches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             texts = [x or "" for x in b.column("text").to_pylist()]
             spans = [base_spans(x) for x in texts]
-            yield record(FOUND, {"doc_id": b.column("doc_id"), "tie": b.column("tie"), "base": [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans], "mentions": [mentions(t, x, rules) if x else [] for t, x in zip(texts, spans, strict=True)]})
+            some = [k for k, x in enumerate(spans) if x]
+            one, two = np.zeros((2, len(texts)), np.int64)
+            one[some], two[some] = sketches([texts[k].encode() for k in some])
+            yield record(FOUND, {"doc_id": b.column("doc_id"), "tie": b.column("tie"), "base": [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans], "entities": [sorted({entity_of(k, t[s:e]) for k, s, e in x}) for t, x in zip(texts, spans, strict=True)], "one": one, "two": two})
 
-    text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text")).mapInArrow(run, FOUND_DDL)
+    return _plain(docs).mapInArrow(run, FOUND_DDL)
 
 
-BITS = 1 << 23
+BITS = 1 << 26
 
 
-def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """How many texts hold each of `terms(term)`, through a bitmap of BITS bits and an exact join."""
+def term_bitmap(terms: DataFrame) -> np.ndarray:
+    """A bitmap of BITS bits (8 MB) that holds `terms(term)`; it only saves work, an exact join follows its use."""
 
     def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             slot = (word_hash([x.encode() for x in b.column("term").to_pylist()]) % np.uint64(BITS)).astype(np.int64)
             yield pa.RecordBatch.from_pydict({"at": pa.array(slot // 32, pa.int64()), "bits": pa.array(np.int64(1) << slot % 32, pa.int64())})
 
-    rows = terms.mapInArrow(marks, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()  # BITS / 32 rows at most
+    rows = terms.select("term").mapInArrow(marks, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()  # BITS / 32 rows at most
     bitmap = np.zeros(BITS // 32, np.uint32)
     bitmap[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
+    return bitmap
+
+
+def _document_counts(docs: DataFrame, terms: DataFrame, copied: DataFrame) -> DataFrame:
+    """How many different texts hold each of `terms(term)`. Rows whose tie is in `copied(tie)` may stand for one text."""
+    bitmap, repeated = term_bitmap(terms), key_bitmap(copied, "tie")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
-            totals = Counter(term for _, term in held_terms(utf8(b, "text"), bitmap))
-            yield pa.RecordBatch.from_pydict({"term": pa.array(list(totals), pa.string()), "docs": pa.array(list(totals.values()), pa.int64())})
-
-    counted = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("term_docs"))
+            ties, again = b.column("tie").to_pylist(), passes(repeated, b.column("tie")).to_pylist()
+            totals: Counter = Counter()
+            for d, term in {(d, term) for d, _, _, term in held_terms(utf8(b, "text"), bitmap)}:
+                totals[term, ties[d] if again[d] else None] += 1
+            texts = [t for _, t in totals]
+            yield pa.RecordBatch.from_pydict({"term": pa.array([x for x, _ in totals], pa.string()), "tie": pa.array(texts, pa.int64()), "docs": pa.array([n if t is None else 0 for n, t in zip(totals.values(), texts, strict=True)], pa.int64())})
+
+    held = _plain(docs).select("tie", "text").mapInArrow(count, "term string, tie long, docs long")
+    counted = held.groupBy("term", "tie").agg(F.sum("docs").alias("docs")).groupBy("term").agg((F.sum("docs") + F.count("tie")).alias("term_docs"))
     return terms.join(counted, "term")
 
 
 _EDGE_BYTES = byte_class(_EDGES.encode())
 
 
-def held_terms(texts: list[bytes], bitmap: np.ndarray) -> set[tuple[int, str]]:
-    """(text, term) of the distinct terms of each text that the bitmap may hold."""
+def held_terms(texts: list[bytes], bitmap: np.ndarray) -> list[tuple[int, int, int, str]]:
+    """(text, start, end, term) of the terms that the bitmap may hold; code points."""
     w = Words(texts, NOT_SPACE, lower=True)
     start, end = w.start.copy(), w.end.copy()
     while (cut := (start < end) & _EDGE_BYTES[w.data[np.minimum(start, len(w.data) - 1)]]).any():
@@ -192,45 +226,77 @@ def held_terms(texts: list[bytes], bitmap: np.ndarray) -> set[tuple[int, str]]:
     start, end, doc = start[alive], end[alive], w.doc[alive]
     slot = hash_spans(w.data, start, end) % np.uint64(len(bitmap) * 32)
     keep = np.flatnonzero((bitmap[(slot // np.uint64(32)).astype(np.int64)] >> (slot % np.uint64(32)).astype(np.uint32)) & 1)
-    raw = w.data.tobytes() if len(keep) else b""
-    return {(int(doc[k]), raw[start[k] : end[k]].decode("utf-8")) for k in keep}
+    if not len(keep):
+        return []
+    raw, points = w.data.tobytes(), code_points(w.data)
+    zero = points[w.text_start[doc]]
+    return [(int(doc[k]), int(points[start[k]] - zero[k]), int(points[end[k]] - zero[k]), raw[start[k] : end[k]].decode("utf-8")) for k in keep]
 
 
 def disclosing_pairs(docs: DataFrame, found: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
     """entity, term and action of the pairs over the thresholds, with their PMI and IC in bits."""
-    each = found.where(F.size("mentions") > 0).select("doc_id", "tie", F.explode("mentions").alias("m")).select("doc_id", "tie", "m.entity", "m.term", "m.left", "m.right")
-    # two different values at least, which smallest and largest tell exactly; the counts follow for the rest
-    varied = (F.min("left") < F.max("left")) & (F.min("right") < F.max("right")) if rules.contexts > 1 else F.lit(True)
-    pairs = each.groupBy("entity", "term").agg(varied.alias("varied")).where("varied").select("entity", "term")
-    pairs = stored(pairs, "pii-pairs")
-    exact = each.join(pairs, ["entity", "term"])
-    by_pair = exact.groupBy("entity", "term").agg(F.count_distinct("left").alias("lefts"), F.count_distinct("right").alias("rights"), F.count_distinct("doc_id", "tie").alias("both_docs")).where((F.col("lefts") >= rules.contexts) & (F.col("rights") >= rules.contexts))
-    by_pair = stored(by_pair, "pii-counts")
-    entity_docs = each.join(by_pair.select("entity").distinct(), "entity").groupBy("entity").agg(F.count_distinct("doc_id", "tie").alias("entity_docs"))
-    total = found.count()
-    counted = by_pair.join(entity_docs, "entity").join(_document_counts(docs, by_pair.select("term").distinct()), "term")
+    enough = F.least(F.count_distinct("one"), F.count_distinct("two")) >= rules.contexts
+    texts = found.where(F.size("entities") > 0).select("tie", "one", "two", F.explode("entities").alias("entity"))
+    recurring = texts.groupBy("entity").agg(enough.alias("enough"), F.count_distinct("tie").alias("entity_docs")).where("enough").drop("enough")
+    recurring = stored(recurring, "pii-entities")
+    holders = stored(texts.join(recurring.select("entity"), "entity").select("tie").distinct(), "pii-holders")
+    holding = key_bitmap(holders, "tie")
+
+    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, "text"):
+            b = b.filter(passes(holding, b.column("tie")))
+            rows, columns = [], {}
+            if b.num_rows:
+                values = b.column("text").to_pylist()
+                one, two = sketches(utf8(b, "text"))
+                for k, t in enumerate(values):
+                    rows += [(b.column("tie")[k].as_py(), int(one[k]), int(two[k]), *x) for x in mentions(t or "", base_spans(t or ""), rules)]
+            for k, (c, kind) in enumerate({"tie": pa.int64(), "one": pa.int64(), "two": pa.int64(), "entity": pa.string(), "term": pa.string()}.items()):
+                columns[c] = pa.array([r[k] for r in rows], kind)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    each = _plain(docs).select("tie", "text").mapInArrow(near, "tie long, one long, two long, entity string, term string").join(recurring.select("entity"), "entity")
+    pairs = stored(each.groupBy("entity", "term").agg(enough.alias("enough"), F.count_distinct("tie").alias("both_docs")).where("enough"), "pii-counts")
+    copies = found.groupBy("tie").agg(F.count("*").alias("n"))
+    total = copies.count()
+    terms = pairs.select("term").distinct()
+    counted = pairs.join(recurring, "entity").join(_document_counts(docs, terms, copies.where("n > 1").select("tie")), "term")
     ic = F.log2(F.lit(float(max(total, 2))) / F.col("entity_docs"))
     given = F.least(F.col("both_docs") / F.greatest("term_docs", "both_docs"), F.lit(1.0))
     scored = counted.withColumn("ic", ic).withColumn("pmi", F.log2(given) + F.col("ic")).where((F.col("ic") > 0) & (F.col("pmi") >= rules.generalise * F.col("ic")))
     out = scored.select("entity", "term", F.when(F.col("pmi") >= rules.remove * F.col("ic"), "remove").otherwise("generalise").alias("action"), "pmi", "ic")
-    return stored(out, "pii-disclosing")
+    out = stored(out, "pii-disclosing")
+    discard(recurring, holders, pairs)
+    return out
 
 
-def added_spans(found: DataFrame, pairs: DataFrame) -> DataFrame:
-    """doc_id, tie and `added`, the spans of disclosing terms next to their entity."""
-    each = found.where(F.size("mentions") > 0).select("doc_id", "tie", F.explode("mentions").alias("m")).select("doc_id", "tie", "m.entity", "m.term", "m.start", "m.end")
-    marked = each.join(pairs.select("entity", "term", "action"), ["entity", "term"]).groupBy("doc_id", "tie", "start", "end").agg(F.max("action").alias("kind"))
-    return marked.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
+def added_spans(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """tie and `added`, the spans of disclosing terms, of each text that has any."""
+    actions = pairs.groupBy("term").agg(F.max("action").alias("kind"))
+    bitmap = term_bitmap(actions)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, "text"):
+            ties, texts, free = b.column("tie").to_pylist(), b.column("text"), {}
+            rows = []
+            for d, s, e, term in held_terms(utf8(b, "text"), bitmap):
+                if d not in free:
+                    free[d] = Outside(base_spans(texts[d].as_py()))
+                if free[d](s, e):
+                    rows.append((ties[d], term, s, e))
+            yield pa.RecordBatch.from_pydict({c: pa.array([r[k] for r in rows], kind) for k, (c, kind) in enumerate({"tie": pa.int64(), "term": pa.string(), "start": pa.int64(), "end": pa.int64()}.items())})
+
+    hits = _plain(docs).select("tie", "text").mapInArrow(run, "tie long, term string, start long, end long")
+    marked = hits.join(actions, "term").select("tie", "kind", "start", "end").distinct()
+    return stored(marked.groupBy("tie").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("added")), "pii-added")
 
 
 def find(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
     """doc_id, base spans and added spans of every row of docs."""
-    found = stored(scan(docs, rules), "pii-found")
-    extra = added_spans(found, disclosing_pairs(docs, found, rules))
+    found = stored(scan(docs), "pii-found")
+    extra = added_spans(docs, disclosing_pairs(docs, found, rules))
     empty = F.array().cast("array<struct<kind:string,start:long,end:long>>")
-    plain = found.where(F.size("mentions") == 0).select("doc_id", "base", empty.alias("added"))
-    near = found.where(F.size("mentions") > 0).join(extra, ["doc_id", "tie"], "left").select("doc_id", "base", F.coalesce("added", empty).alias("added"))
-    return plain.unionByName(near)
+    return found.join(extra, "tie", "left").select("doc_id", "base", F.coalesce("added", empty).alias("added"))
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -257,17 +323,19 @@ def replace(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def sanitise(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
     """docs with personal data and disclosing terms replaced in text; a null text stays null."""
-    found = stored(scan(docs, rules), "pii-found")
-    extra = added_spans(found, disclosing_pairs(docs, found, rules)).withColumnsRenamed({"doc_id": "_doc", "tie": "_tie", "added": "_added"})
-    joined = docs.join(extra, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_tie")), "left").drop("_doc", "_tie")
+    found = stored(scan(docs), "pii-found")
+    tie, added = (free_name(x, docs.columns) for x in ("tie", "added"))
+    extra = added_spans(docs, disclosing_pairs(docs, found, rules)).withColumnsRenamed({"tie": tie, "added": added})
+    discard(found)
+    joined = docs.join(extra, F.xxhash64(F.col("text").cast("string")) == F.col(tie), "left").drop(tie)
     names, place = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             texts = []
-            for t, more in zip(b.column("text").to_pylist(), b.column("_added").to_pylist(), strict=True):
-                spans = base_spans(t) if t else []
-                texts.append(replace(t, [*spans, *((x["kind"], x["start"], x["end"]) for x in more or ())]) if spans else t)
+            for t, more in zip(b.column("text").to_pylist(), b.column(added).to_pylist(), strict=True):
+                spans = [*(base_spans(t) if t else ()), *((x["kind"], x["start"], x["end"]) for x in more or ())]
+                texts.append(replace(t, spans) if spans else t)
             rest = b.select(names)
             yield rest.set_column(place, rest.schema.field(place), pa.array(texts, rest.schema.field(place).type))
 

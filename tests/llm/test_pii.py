@@ -73,3 +73,66 @@ def test_three_contexts_are_enough_for_every_pair(make_docs):
 def test_empty_table(make_docs):
     docs = make_docs([(1, "x")]).where("doc_id = 2")
     assert pii.digests(pii.find(docs)).count() == 0 and pii.sanitise(docs).count() == 0
+
+
+def brute_added(texts, rules=None):
+    """Spans of disclosing terms of each text, by plain counting."""
+    from math import log2
+
+    rules = rules or pii.Disclosure()
+    different = sorted({t or "" for t in texts} - {""}) + ([""] if any(t == "" for t in texts) else []) + ([None] if None in texts else [])
+    terms, entities, near = {}, {}, {}
+    for t in different:
+        spans = brute(t or "")
+        free = lambda s, e, spans=spans: all(e <= b or s >= c for _, b, c in spans)
+        words = [m.span() for m in re.finditer(r"[^\x09-\x0D ]+", t or "")]
+        for s, e in words:
+            bare = t[s:e].strip(".,;:!?\"'()[]{}<>")
+            if bare:
+                at = s + t[s:e].index(bare)
+                terms.setdefault(bare.lower(), {}).setdefault(t, []).append((at, at + len(bare), free(at, at + len(bare))))
+        for kind, b, c in spans:
+            entity = pii.entity_of(kind, t[b:c])
+            entities.setdefault(entity, set()).add(t)
+            left, right = [w for w in words if w[1] <= b][-rules.reach :], [w for w in words if w[0] >= c][: rules.reach]
+            for s, e in left + right:
+                bare = t[s:e].strip(".,;:!?\"'()[]{}<>").lower()
+                if len(bare) >= rules.min_chars and free(s, e):
+                    near.setdefault((entity, bare), set()).add(t)
+    sketch = {t: tuple(int(x[0]) for x in pii.sketches([(t or "").encode()])) for t in different}
+    evidence = lambda held: min(len({sketch[t][k] for t in held}) for k in (0, 1))
+    kinds = {}
+    for (entity, term), held in near.items():
+        if evidence(held) >= rules.contexts and evidence(entities[entity]) >= rules.contexts:
+            ic = log2(len(different) / len(entities[entity]))
+            pmi = log2(min(1, len(held) / max(len(terms[term]), len(held)))) + ic
+            if ic > 0 and pmi >= rules.generalise * ic:
+                kinds[term] = max(kinds.get(term, ""), "remove" if pmi >= rules.remove * ic else "generalise")
+    return {t: sorted((kinds[term], s, e) for term, where in terms.items() if term in kinds for s, e, ok in where.get(t, ()) if ok) for t in different}
+
+
+def test_added_spans_equal_plain_counts(make_docs, edge_rows):
+    import random
+
+    r = random.Random(8)
+    common = [f"w{k}" for k in range(30)]
+    people = [(f"p{k}@corp.example", f"Name{k}", f"team{k // 2}") for k in range(6)]
+    rows = []
+    for k in range(160):
+        words = r.choices(common, k=r.randint(5, 90))
+        mail, name, team = people[k % 6]
+        if k < 100:
+            words += [mail] + r.choices(common, k=r.choice([0, 3, 45])) + [name + ","] * (k % 3 > 0) + [team] * (k % 2)
+        elif k < 110:
+            words += [name, "alone"]
+        r.shuffle(words) if k % 4 == 0 else None
+        rows.append((k if k % 10 else None, " ".join(words)))
+    rows += rows[:60] + edge_rows  # repeated rows change nothing
+    want = brute_added([t for _, t in rows])
+    got = pii.find(make_docs(rows)).collect()
+    assert len(got) == len(rows) and sum(map(bool, want.values())) > 40 and {k for x in want.values() for k, _, _ in x} == {"remove", "generalise"}
+    key = lambda i, x: (-1 if i is None else i, x)
+    assert sorted(key(x["doc_id"], sorted(tuple(s) for s in x["added"])) for x in got) == sorted(key(i, want[t]) for i, t in rows)
+    docs = make_docs(rows).withColumnsRenamed({"shard": "added", "kept": "Added_", "spans": "_added"})
+    out = pii.sanitise(docs)
+    assert out.columns == docs.columns and sorted(map(str, (x["text"] for x in out.collect()))) == sorted(str(t if t is None else pii.replace(t, [*brute(t), *want[t]])) for _, t in rows)
