@@ -1,18 +1,24 @@
 """Operator 6, main text of HTML pages by two-pass block rules.
 
-A page is cut into blocks at block-level tags. The first pass decides a block by where it stands (inside a
-menu, footer, form, advert, comment list and the like, or inside the page's article) and otherwise by its
-words: link density marks boilerplate, a long block dense in stop words is text, the rest is undecided. In
-the second pass an undecided block takes the label of its nearest decided neighbours; where they differ,
-the nearer one counts, and at equal distance only a long block counts as text. A page in which nothing is
-decided keeps its undecided blocks.
+A page is cut into blocks at block-level tags. The first pass decides a block, on every page, by these rules in turn:
+
+* hidden: it stands in an element that shows nothing or is never text (menu, form, footer, button and the like);
+* links: too many of its characters are links, or it is short and has any;
+* names: it stands in an element whose class or id consists of words for boilerplate, unless the blocks that this
+  leaves hold no text: then such names are ignored on that page;
+* density: a long block dense in stop words is text.
+
+The rest is undecided. In the second pass an undecided block takes the label of its nearest decided neighbours on its
+side of the border of the article (or main element); where they differ, the nearer one counts, and at equal distance only
+a long block counts as text; a heading goes with what follows it. Where its side has none decided, a block inside the
+article is text and one outside it is not; on a page without article in which nothing is text, undecided blocks stay.
 
 Each page is judged alone: one scan, no shuffle. Parsing is a single pass over tags, linear in the page, and
 takes malformed markup as it comes: an end tag closes the nearest open element of its name or is ignored, an
 unclosed one ends with its parent, an unclosed comment or script runs to the end.
 
-Defined results: null or empty html gives an empty text; pages without any block likewise; repeated rows
-repeat; other columns are ignored.
+Defined results: null or empty html gives an empty text; pages without any block likewise; a very long page is one page
+like any other; repeated rows repeat; an empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -43,8 +49,9 @@ IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 UNCLOSED = frozenset("head header nav".split())
 BOILER_TAGS = frozenset("nav footer aside form button select menu dialog head search".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-#: Words of class and id that mark boilerplate wherever they stand.
+#: Words for boilerplate in class and id; a name counts if all its words are these or the plain ones that follow.
 BOILER_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adsense advertising banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification pager pagination paywall popup promo promotion promotions recommended related replies reply share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser teasers toolbar widget widgets".split())
+PLAIN_WORDS = frozenset("area bar block bottom box btn button buttons center column container content count counter div form group header icon icons inner item items left link links list main mini outer panel right row section site side slot small sticky sub text title top unit wrap wrapper page global primary secondary thread tree user email mobile desktop close open".split())
 #: And these only outside the article.
 HEADER_WORDS = frozenset("header masthead topbar".split())
 
@@ -70,7 +77,8 @@ class Block:
     text: str
     link_chars: int
     heading: bool
-    inside: str  # "article", "boiler" or ""
+    inside: bool  # of the article
+    mark: str = ""  # "hidden", "named" or ""
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -81,31 +89,43 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _words_of(value: str) -> set[str]:
-    return {m.lower() for m in _TOKEN.findall(value)}
+def _named(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the names in a class or id attribute consists of such words and plain ones."""
+    for name in value.split():
+        parts = [m.lower() for m in _TOKEN.findall(name)]
+        if any(p in words for p in parts) and all(p in words or p in PLAIN_WORDS or p.isdigit() for p in parts):
+            return True
+    return False
+
+
+@dataclass(frozen=True)
+class Place:
+    """Where the content of an element stands."""
 
+    inside: bool = False
+    mark: str = ""
+    cause: str = ""  # the outermost element that marks it
 
-def _place(tag: str, raw: str, parent: str) -> str:
-    """Where the content of an element stands, from the element and where it stands itself."""
+
+def _place(tag: str, raw: str, parent: Place) -> Place:
     attrs = _attributes(raw) if raw and "=" in raw or "hidden" in raw else {}
-    if tag == "main" or (tag == "article" and not parent and not _words_of(attrs.get("class", "") + " " + attrs.get("id", "")) & BOILER_WORDS):
-        return "article"
-    if parent == "boiler" or tag in BOILER_TAGS or (tag == "header" and parent != "article"):
-        return "boiler"
-    if attrs:
-        if attrs.get("role", "").lower() in BOILER_ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-            return "boiler"
-        if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.IGNORECASE):
-            return "boiler"
-        named = _words_of(attrs.get("class", "") + " " + attrs.get("id", ""))
-        if tag != "body" and tag != "html" and (named & BOILER_WORDS or (parent != "article" and named & HEADER_WORDS)):
-            return "boiler"
-    return parent
+    name = attrs.get("class", "") + " " + attrs.get("id", "")
+    inside = parent.inside or tag == "main" or (tag == "article" and parent.mark != "hidden" and not _named(name, BOILER_WORDS))
+    mark = parent.mark
+    if mark != "hidden":
+        shown = not ("hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.IGNORECASE))
+        if not shown or tag in BOILER_TAGS or (tag == "header" and not inside) or attrs.get("role", "").lower() in BOILER_ROLES:
+            mark = "hidden"
+        elif tag not in ("body", "html") and (_named(name, BOILER_WORDS) or (not inside and _named(name, HEADER_WORDS))):
+            mark = "named"
+    return parent if (inside, mark) == (parent.inside, parent.mark) else Place(inside, mark, parent.cause or (tag if mark else ""))
 
 
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
-    open_tags: list[tuple[str, str]] = [("", "")]
+    open_tags: list[tuple[str, Place]] = [("", Place())]
+    depths: dict[str, list[int]] = {}  # where the open elements of each name are
+    block_depths: list[int] = []
     text: list[str] = []
     links, link_depth, heading = 0, 0, False
 
@@ -113,7 +133,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal links, text
         joined = " ".join("".join(text).split())
         if joined:
-            out.append(Block(joined, links, heading, open_tags[-1][1]))
+            out.append(Block(joined, links, heading, open_tags[-1][1].inside, open_tags[-1][1].mark))
         text, links = [], 0
 
     def add(piece: str) -> None:
@@ -128,7 +148,10 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal link_depth
         for name, _ in open_tags[depth:]:
             link_depth -= name == "a"
+            depths[name].pop()
         del open_tags[depth:]
+        while block_depths and block_depths[-1] >= depth:
+            block_depths.pop()
 
     at, end = 0, len(page)
     while at < end:
@@ -149,9 +172,8 @@ def blocks_of(page: str) -> list[Block]:
         if tag in BLOCK or (tag in RAW and tag == "title"):
             close()
         if closing:
-            depth = next((k for k in range(len(open_tags) - 1, 0, -1) if open_tags[k][0] == tag), 0)
-            if depth:
-                pop(depth)
+            if depths.get(tag):
+                pop(depths[tag][-1])
                 if tag in HEADINGS:
                     heading = False
             continue
@@ -162,72 +184,80 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID or m[4].rstrip().endswith("/"):
             continue
         if tag in BLOCK:
-            if tag == "p" or tag in HEADINGS:
-                depth = next((k for k in range(len(open_tags) - 1, 0, -1) if open_tags[k][0] in BLOCK), 0)
-                if depth and (open_tags[depth][0] == "p" or open_tags[depth][0] in HEADINGS):
-                    pop(depth)
-            elif tag in IMPLIED:
-                depth = next((k for k in range(len(open_tags) - 1, 0, -1) if open_tags[k][0] in BLOCK), 0)
-                if depth and open_tags[depth][0] in IMPLIED[tag]:
-                    pop(depth)
+            above = open_tags[block_depths[-1]][0] if block_depths else ""
+            if (tag == "p" or tag in HEADINGS) and (above == "p" or above in HEADINGS) or above in IMPLIED.get(tag, ()):
+                pop(block_depths[-1])
             heading = tag in HEADINGS
         parent = open_tags[-1][1]
-        if tag == "body" or (tag in ARTICLE and parent == "boiler" and next(name for name, place in open_tags if place == "boiler") in UNCLOSED):
-            parent = ""  # what came before was left open
+        if tag == "body" or (tag in ARTICLE and parent.mark == "hidden" and parent.cause in UNCLOSED):
+            parent = Place()  # what came before was left open
+        depths.setdefault(tag, []).append(len(open_tags))
+        if tag in BLOCK:
+            block_depths.append(len(open_tags))
         open_tags.append((tag, _place(tag, m[4], parent)))
         link_depth += tag == "a"
     close()
     return out
 
 
-def labels(page: list[Block], rules: Rules = Rules()) -> list[bool]:
-    """Whether each block is main text."""
-    in_article = any(b.inside == "article" for b in page)
-    decided: list[bool | None] = []
+def first_pass(page: list[Block], rules: Rules = Rules(), names: bool = True) -> list[tuple[bool | None, str]]:
+    """The label of each block, None if undecided, and the rule that gave it."""
+    out: list[tuple[bool | None, str]] = []
     for b in page:
         words = b.text.lower().split()
-        dense = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) >= rules.stop_words * len(words)
-        linked = b.link_chars > rules.max_link_density * len(b.text)
-        if b.inside:
-            decided.append(b.inside == "article")
-        elif in_article:
-            decided.append(False)
-        elif linked or b.text.startswith("©") or (len(b.text) < rules.short and b.link_chars):
-            decided.append(False)
-        elif len(b.text) >= rules.long and dense and not b.heading:
-            decided.append(True)
+        if b.mark == "hidden":
+            out.append((False, "hidden"))
+        elif b.link_chars > rules.max_link_density * len(b.text) or (len(b.text) < rules.short and b.link_chars and not b.inside):
+            out.append((False, "links"))
+        elif (b.mark == "named" and names) or (b.text.startswith("©") and not b.inside):
+            out.append((False, "names"))
+        elif len(b.text) >= rules.long and not b.heading and sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) >= rules.stop_words * len(words):
+            out.append((True, "density"))
         else:
-            decided.append(None)
-    n = len(page)
-    before: list[tuple[int, bool | None]] = []
-    last: tuple[int, bool | None] = (-1, None)
-    for k, x in enumerate(decided):
-        last = (k, x) if x is not None else last
-        before.append(last)
-    after: list[tuple[int, bool | None]] = [(n, None)] * n
-    nxt: tuple[int, bool | None] = (n, None)
-    for k in range(n - 1, -1, -1):
-        nxt = (k, decided[k]) if decided[k] is not None else nxt
-        after[k] = nxt
-    out, anything = [], any(decided)
-    for k, (b, x) in enumerate(zip(page, decided, strict=True)):
-        if x is not None:
-            out.append(x)
-            continue
-        (i, left), (j, right) = before[k], after[k]
-        if not anything:
-            out.append(not b.inside)
-        elif b.heading:
-            out.append(bool(right))  # a heading goes with what follows it
-        elif left is None or right is None or left == right:
-            out.append(bool(left or right) if left is None or right is None else left)
-        elif k - i != j - k:
-            out.append(left if k - i < j - k else right)
-        else:
-            out.append(len(b.text) >= rules.short)
+            out.append((None, ""))
+    if names and any(b.mark == "named" for b in page) and not any(x for x, _ in out) and not any(x is None and (b.inside or not any(c.inside for c in page)) for (x, _), b in zip(out, page, strict=True)):
+        return first_pass(page, rules, False)
+    return out
+
+
+def second_pass(page: list[Block], decided: list[bool | None], rules: Rules = Rules()) -> list[bool]:
+    """Labels of all blocks: undecided ones from their neighbours on the same side of the article's border."""
+    out: list[bool] = [bool(x) for x in decided]
+    article = any(b.inside for b in page)
+    for side in (True, False):
+        here = [k for k, b in enumerate(page) if b.inside == side]
+        before: list[int] = []
+        for n, k in enumerate(here):
+            before.append(n if decided[k] is not None else before[-1] if n else -1)
+        after = [len(here)] * len(here)
+        for n in range(len(here) - 1, -1, -1):
+            after[n] = n if decided[here[n]] is not None else after[n + 1] if n + 1 < len(here) else len(here)
+        text = any(decided[k] for k in here)
+        for n, k in enumerate(here):
+            if decided[k] is not None:
+                continue
+            left = decided[here[before[n]]] if before[n] >= 0 else None
+            right = decided[here[after[n]]] if after[n] < len(here) else None
+            if side and not text:
+                out[k] = True
+            elif not text:
+                out[k] = not article
+            elif page[k].heading:
+                out[k] = bool(right if right is not None else side)
+            elif left is None or right is None or left == right:
+                out[k] = bool(right if left is None else left)
+            elif n - before[n] != after[n] - n:
+                out[k] = bool(left if n - before[n] < after[n] - n else right)
+            else:
+                out[k] = side or len(page[k].text) >= rules.short
     return out
 
 
+def labels(page: list[Block], rules: Rules = Rules()) -> list[bool]:
+    """Whether each block is main text."""
+    return second_pass(page, [x for x, _ in first_pass(page, rules)], rules)
+
+
 def extract(page: str | None, rules: Rules = Rules()) -> str:
     found = blocks_of(page or "")
     return "\n".join(b.text for b, main in zip(found, labels(found, rules), strict=True) if main)
