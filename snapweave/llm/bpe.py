@@ -1,16 +1,19 @@
 """Operator 7, BPE encoding and decoding by tree concatenation.
 
-Short texts are encoded in units between cuts that no word pattern spans, each distinct unit once. A long text is cut into halves until the parts are short; the
-parts are encoded as one batch, and neighbours are then joined pairwise up the tree. At a join a window
+A text longer than a leaf is cut into halves until the parts are leaves; the leaves, which need nothing of one another, are
+encoded as one batch, and neighbours are then joined pairwise up the tree. At a join a window
 around the cut is encoded again and grown until its tokens agree with the left part's on one side and
 with the right part's on the other; what lies between comes from the window. A BPE encoding is right if
 every two neighbouring tokens are an encoding of their own text, so agreement on an overlap proves the
 joined tokens: each adjacent pair lies inside one encoding. The overlap must also start and end with a
 run of tokens that covers a break the tokenizer makes in both, or the window grows, up to the whole.
 
-The encoding of a text depends on that text alone, in one pass without shuffle. Defined results: null
-is the empty text, with no ids and the decoded text empty; repeated rows repeat; other columns of docs
-are ignored by `encode`.
+A text that is one leaf is encoded in units between cuts that no word pattern spans, each distinct unit once.
+
+The encoding of a text depends on that text alone, in one pass without shuffle; tasks work on different texts side by
+side, and one text stays in one task. Defined results: null is the empty text, with no ids and the decoded text empty;
+a very long text has the ids of one encoding of the whole; repeated rows repeat; an empty table gives no rows; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from snapweave.llm.shared import BLOCK_BYTES, Units, blocks, encode_units, record, utf8
 from snapweave.llm.tokens import WORD_BPE, tokenizer
 
-LEAF = 4096  # characters of a part
+LEAF = 4096  # bytes of a text that is one leaf, and characters of a part
 WINDOW = 128  # characters of the first window on each side of a cut
 AGREE = 4  # tokens that must agree on each side
 
@@ -97,7 +100,7 @@ def encode_long(text: str, name: str = WORD_BPE, leaf: int = LEAF) -> np.ndarray
 class Encoder:
     """Encodes blocks of texts; long ones through the tree, the rest through units between safe cuts, which it remembers."""
 
-    def __init__(self, name: str = WORD_BPE, long_text: int = 1 << 16, leaf: int = LEAF):
+    def __init__(self, name: str = WORD_BPE, long_text: int = LEAF, leaf: int = LEAF):
         t = tokenizer(name)
         self.name, self.long_text, self.leaf = name, long_text, leaf
         self.units = Units(lambda texts: [e.ids for e in t.encode_batch_fast(texts, add_special_tokens=False)])
@@ -121,7 +124,7 @@ SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa
 DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def encode(docs: DataFrame, name: str = WORD_BPE, digests: bool = False, long_text: int = 1 << 16) -> DataFrame:
+def encode(docs: DataFrame, name: str = WORD_BPE, digests: bool = False, long_text: int = LEAF) -> DataFrame:
     """doc_id, n_tokens, ids and the decoded text of each row; with digests their SHA-256 in place of the last two."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

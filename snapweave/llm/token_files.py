@@ -8,8 +8,10 @@ with sampled select positions of 4 bytes, so the i-th boundary is found without
 Files are named at random by each task attempt; only those in the manifest, which holds one row for each
 file, belong to the result. A retried task leaves at most files that nothing reads.
 
-Defined results: null is the empty text, which still gets its end id; repeated doc_ids are ordered by a
-hash of their text and each gets its row; an empty table gives an empty manifest and no rows.
+Defined results: null is the empty text, which still gets its end id; documents without a doc_id come first and keep
+their null; repeated doc_ids are ordered by a hash of their text and each gets its row; a very long text may make a
+file longer than the rest; an empty table gives an empty manifest and no rows; columns other than doc_id and text,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -90,10 +92,11 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def write_file(uri: str, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, width: int) -> None:
-    low = int(doc_ids[0])  # ascending, so the differences to the first are not negative
-    sequences = [EliasFano.build(np.cumsum(counts)), EliasFano.build(doc_ids.astype(np.int64) - low)]
+    """One file; of the documents, those without a doc_id come first and have no entry in doc_ids."""
+    low = int(doc_ids[0]) if len(doc_ids) else 0  # ascending, so the differences to the first are not negative
+    sequences = [EliasFano.build(np.cumsum(counts)), EliasFano.build((doc_ids.astype(np.int64) - low).view(np.uint64))]
     parts = [ids.astype(f"<u{width}").tobytes(), *(p for s in sequences for p in s.parts())]
-    head = json.dumps({"docs": len(doc_ids), "width": width, "first_doc": low, "low_bits": [s.low_bits for s in sequences], "sizes": list(map(len, parts))}).encode()
+    head = json.dumps({"docs": [len(counts), len(doc_ids)], "width": width, "first_doc": low, "low_bits": [s.low_bits for s in sequences], "sizes": list(map(len, parts))}).encode()
     fs, path = _filesystem(uri)
     fs.create_dir(path.rpartition("/")[0], recursive=True)
     with fs.open_output_stream(path) as out:
@@ -118,8 +121,11 @@ class TokenFile:
             parts.append(raw[at : at + n])
             at += n
         self.ids = np.frombuffer(parts[0], f"<u{head['width']}")
-        self.first_doc, n = head["first_doc"], head["docs"]
-        self.ends, self.docs = (EliasFano(n, bits, np.frombuffer(p[0], np.uint8), np.frombuffer(p[1], np.uint8), np.frombuffer(p[2], "<u4")) for bits, p in zip(head["low_bits"], (parts[1:4], parts[4:7]), strict=True))
+        self.first_doc = head["first_doc"]
+        self.ends, self.docs = (EliasFano(n, bits, np.frombuffer(p[0], np.uint8), np.frombuffer(p[1], np.uint8), np.frombuffer(p[2], "<u4")) for n, bits, p in zip(head["docs"], head["low_bits"], (parts[1:4], parts[4:7]), strict=True))
+
+    def doc_ids(self) -> list[int | None]:
+        return [None] * (self.ends.n - self.docs.n) + (self.docs.all().view(np.int64) + self.first_doc).tolist()
 
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.ends.select(i - 1) if i else 0 : self.ends.select(i)]
@@ -145,13 +151,13 @@ def write(docs: DataFrame, folder: str, name: str = BYTE_BPE, end_id: int = 2, f
             uri = f"{folder}/tokens-{uuid.uuid4().hex}.bin"
             doc_ids, counts, ids = (np.concatenate(x) for x in zip(*held, strict=True))
             write_file(uri, doc_ids, counts, ids, width)
-            return record(MANIFEST, {"first_doc": [first[0]], "first_tie": [first[1]], "uri": [uri], "n_docs": [len(doc_ids)], "n_ids": [len(ids)]})
+            return record(MANIFEST, {"first_doc": [first[0]], "first_tie": [first[1]], "uri": [uri], "n_docs": [len(counts)], "n_ids": [len(ids)]})
 
         for b in blocks(batches, "text", 2 * BLOCK_BYTES):
             if first is None:
                 first = b.column("doc_id")[0].as_py(), b.column("tie")[0].as_py()
             each = [np.append(x, end_id).astype(np.int32) for x in enc(utf8(b, "text"))]
-            held.append((b.column("doc_id").to_numpy(zero_copy_only=False), np.fromiter(map(len, each), np.int64, len(each)), np.concatenate(each)))
+            held.append((b.column("doc_id").drop_null().to_numpy(zero_copy_only=False).astype(np.int64), np.fromiter(map(len, each), np.int64, len(each)), np.concatenate(each)))
             size += len(held[-1][2])
             if size >= file_ids:
                 yield flush()
@@ -159,9 +165,9 @@ def write(docs: DataFrame, folder: str, name: str = BYTE_BPE, end_id: int = 2, f
         if held:
             yield flush()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull()).withColumn("tie", F.xxhash64("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
     manifest = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").mapInArrow(run, MANIFEST_DDL)
-    before = Window.orderBy("first_doc", "first_tie").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(F.col("first_doc").asc_nulls_first(), "first_tie").rowsBetween(Window.unboundedPreceding, -1)
     return stored(manifest, "token-manifest").withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
@@ -175,7 +181,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 ends = f.ends.all().astype(np.int64)
                 starts = np.concatenate(([0], ends[:-1]))
                 raw = memoryview(f.ids.astype("<u4").tobytes())
-                yield record(ROWS, {"doc_id": f.docs.all().astype(np.int64) + f.first_doc, "start": row["base"] + starts, "n_tokens": ends - starts, "ids_crc32": [zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]})
+                yield record(ROWS, {"doc_id": f.doc_ids(), "start": row["base"] + starts, "n_tokens": ends - starts, "ids_crc32": [zlib.crc32(raw[4 * s : 4 * e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]})
 
     return manifest.select("uri", "base").repartition(partitions(manifest.sparkSession)).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -24,7 +24,7 @@ PROSE = "It was the best of times and it was the worst of times for all of the p
         ("<article class='article-with-ad'><p>Real text here.</p></article>", "Real text here."),
         (f"<div class='notice-board'><p>{PROSE}</p></div>", PROSE.strip()),
         (f"<article><p>{PROSE}</p><section id='comment-on-policy'><p>{PROSE}</p></section><ul><li><a>one</a><li><a>two</a></ul><div class='comment-list'>{PROSE}</div></article>", f"{PROSE.strip()}\n{PROSE.strip()}"),
-        (f"<article><p>teaser</p></article><div><h2>Title</h2><p>{PROSE}</p><p>short</p></div><div class=ad>{PROSE}</div>", f"teaser\nTitle\n{PROSE.strip()}\nshort"),
+        (f"<article><p>teaser</p></article><div><h2>Title</h2><p>{PROSE}</p><p>short</p></div><div class=ad>{PROSE}</div>", f"teaser\nTitle\n{PROSE.strip()}"),
         (f"<div class='content sidebar'><p>{PROSE}</p></div><nav>x</nav>", PROSE.strip()),
         ("<header><p>site</p></header><article><header><h1>T</h1></header><p>x</p><footer>f</footer></article>", "T\nx"),
     ],

@@ -56,10 +56,40 @@ def test_components_equal_all_pairs(make_docs, edge_rows, seed):
     assert got == brute(rows)
 
 
+def family(seed, n=60):
+    """Near copies of one text at all distances, among other texts that share a line with it."""
+    r = random.Random(seed)
+    origin = [f"o{k}" for k in range(80)]
+    rows = []
+    for k in range(n):
+        words = list(origin)
+        for _ in range(r.choice([0, 1, 2, 3, 4, 6, 8])):
+            words[r.randrange(80)] = f"x{k}y{r.randrange(9)}"
+        rows.append((k, " ".join(words)))
+    return rows + [(n + k, " ".join(origin[:15] + [f"z{k}a{j}" for j in range(r.choice([6, 20]))])) for k in range(20)]
+
+
+def test_families_in_many_tiles_and_rounds(make_docs, monkeypatch):
+    for name, value in {"SMALL": 2, "CHUNK": 4, "OUTLIERS": 3, "STREAMED": 7, "ALLOWED": (1, 2, 1 << 62)}.items():
+        monkeypatch.setattr(nd, name, value)
+    rows = family(6)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in nd.join(make_docs(rows)).collect()), key=repr)
+    assert got == brute(rows) and 5 < len({c for *_, c in got}) < 70
+
+
+def test_twin_words_are_different_shingles():
+    for bits in (10, 12):
+        word = "".join("ab"[bin(k).count("1") % 2] for k in range(1 << bits))
+        one, two = nd.sets_of([word.encode(), word.translate(str.maketrans("ab", "ba")).encode()])
+        assert one[0] != two[0]
+
+
 def test_keep_one(make_docs):
     rows = corpus(3, 60)
     kept = nd.keep_one(make_docs(rows + rows[:5]))
     want = {c for i, _, c in brute(rows)}
+    clashing = nd.keep_one(make_docs(rows).withColumnsRenamed({"kept": "Kept_", "label": "_kept", "tie": "kept"}))
+    assert {"Kept_", "_kept", "kept"} < set(clashing.columns) and clashing.count() == len(want)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want) and kept.columns == make_docs(rows).columns
 
 

@@ -51,22 +51,66 @@ def test_elias_fano(values):
 
 
 def test_token_files(spark, make_docs, edge_rows):
-    rows = [(i, t) for i, t in edge_rows if i is not None] + [(-5, "before zero"), (10**15, "far")]
+    rows = edge_rows + [(-5, "before zero"), (10**15, "far")]
     t = tokenizer(BYTE_BPE)
     manifest = token_files.write(make_docs(rows), scratch_path(spark, "tokens"), file_ids=50)
-    got = sorted(map(tuple, token_files.read(manifest).collect()))
-    assert [r[0] for r in got] == sorted(i for i, _ in rows)
+    first = lambda i: -(10**18) if i is None else i
+    got = sorted(map(tuple, token_files.read(manifest).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((i for i, _ in rows), key=first)
     start = 0
-    for r in sorted(got, key=lambda r: (r[1])):
+    for r in got:
         assert r[1] == start
         start += r[2]
-    want = sorted((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, x in rows for ids in [[*t.encode(x or "", add_special_tokens=False).ids, 2]])
-    assert sorted((r[0], r[2], r[3]) for r in got) == want
+    want = sorted((first(i), len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for i, x in rows for ids in [[*t.encode(x or "", add_special_tokens=False).ids, 2]])
+    assert sorted((first(r[0]), r[2], r[3]) for r in got) == want
     f = token_files.TokenFile(manifest.collect()[0]["uri"])
     assert f.document(0)[-1] == 2
     assert token_files.read(token_files.write(make_docs(rows).where("doc_id = 77"), scratch_path(spark, "tokens"))).count() == 0
 
 
+def twins(bits):
+    """Two words that one polynomial modulo a power of two can't tell apart."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(1 << bits))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("bits", [10, 12])
+@pytest.mark.parametrize("name", [WORD_BPE, BYTE_BPE])
+def test_twin_words_keep_their_ids(make_docs, spark, bits, name):
+    t = tokenizer(name)
+    want = [t.encode(x, add_special_tokens=False).ids for x in twins(bits)]
+    units = Units(lambda xs: [e.ids for e in t.encode_batch_fast(xs, add_special_tokens=False)])
+    ids, counts = encode_units([x.encode() for x in twins(bits)], units)
+    assert ids.tolist() == want[0] + want[1] and counts.tolist() == list(map(len, want))
+    assert [r["ids"] for r in bpe.encode(make_docs(list(enumerate(twins(bits)))), name).orderBy("doc_id").collect()] == want
+    manifest = token_files.write(make_docs(list(enumerate(twins(bits)))), scratch_path(spark, "tokens"), name)
+    assert [r["ids_crc32"] for r in token_files.read(manifest).orderBy("doc_id").collect()] == [zlib.crc32(np.array([*x, 2], "<u4").tobytes()) for x in want]
+
+
+def test_units_with_one_hash_are_told_apart(monkeypatch):
+    from snapweave.llm import shared
+
+    monkeypatch.setattr(shared, "hash_spans", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    t = tokenizer(WORD_BPE)
+    units = Units(lambda xs: [e.ids for e in t.encode_batch_fast(xs, add_special_tokens=False)])
+    for texts in (["one two six", "ten"], ["red ant", "", "six"]):
+        ids, _ = encode_units([x.encode() for x in texts], units)
+        assert ids.tolist() == [i for x in texts for i in t.encode(x, add_special_tokens=False).ids]
+
+
+def test_every_text_beyond_a_leaf_goes_through_the_tree(monkeypatch):
+    import pyarrow.parquet as pq
+
+    texts = [(x or "").encode() for x in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()]
+    joins, tree = [], bpe._join
+    monkeypatch.setattr(bpe, "_join", lambda *a: joins.append(1) or tree(*a))
+    ids = bpe.Encoder()(texts)
+    long = [k for k, x in enumerate(texts) if len(x) > bpe.LEAF]
+    assert len(long) > 50 and len(joins) > len(long)
+    t = tokenizer(WORD_BPE)
+    assert all(ids[k].tolist() == t.encode(texts[k].decode(), add_special_tokens=False).ids for k in long)
+
+
 def test_missing_vocabulary():
     with pytest.raises(Exception):
         tokenizer("/nowhere.json")
