@@ -80,6 +80,12 @@ def normalize_text(c: Column) -> Column:
     return squeeze(unescape_nfkc(F.coalesce(c.cast("string"), F.lit(""))))
 
 
+def normalize_list(c: Column) -> Column:
+    """`normalize_text` of each element of an array; all pass through Python as one text."""
+    whole = F.array_join(F.transform(c, lambda v: F.coalesce(v, F.lit(""))), "\x1f")
+    return F.when(F.size(c) > 0, F.transform(F.split(unescape_nfkc(whole), "\x1f"), squeeze)).otherwise(F.array().cast("array<string>"))
+
+
 def clean_text(c: Column) -> Column:
     """NFKC, white space squeezed."""
     return squeeze(nfkc(F.coalesce(c.cast("string"), F.lit(""))))

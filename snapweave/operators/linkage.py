@@ -13,9 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapweave.functions.text import address_key, best_similarity, contains_either, municipality_key, name_key_capacity, name_key_municipal, name_key_reference, name_variants, similarity, address_key_municipal
+from snapweave.functions.scalars import parse_coordinate
+from snapweave.functions.text import address_key, address_key_municipal, best_similarity, clean_text, infer_municipality, municipality_key, name_key_capacity, name_key_municipal, name_key_reference, name_variants, similarity
 from snapweave.operators.lineage import cut_lineage
-from snapweave.operators.spatial import Acceptance, Weights, accept_nearest, combined_score, radius_join
+from snapweave.operators.spatial import Acceptance, Weights, accept_nearest, radius_join
 
 DECISION = ["status", "method", "score", "matches", "candidates"]
 _NONE = "array<string>"
@@ -76,8 +77,8 @@ def fuzzy_tier(pairs: DataFrame, key: str, master_id: str, rules: Fuzzy) -> Data
     Names are compared first; only pairs over the candidate limit go on to their addresses. Spark would run
     both UDFs on all pairs if they stood in one projection, so the second is guarded by passing it nulls.
     """
-    named = pairs.withColumn("name_score", similarity("s_name", "m_name")).where(F.col("name_score") >= rules.least_name_candidate)
-    scored = named.withColumn("address_score", F.when(F.col("s_addr") != "", similarity(F.when(F.col("s_addr") != "", F.col("s_addr")), "m_addr")))
+    named = (pairs if "name_score" in pairs.columns else pairs.withColumn("name_score", similarity("s_name", "m_name"))).where(F.col("name_score") >= rules.least_name_candidate)
+    scored = named.withColumn("address_score", F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), similarity(F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), F.col("s_addr")), "m_addr")))
     total = F.when(F.col("s_addr") == "", F.col("name_score")).otherwise(rules.name_weight * F.col("name_score") + (1 - rules.name_weight) * F.coalesce("address_score", F.lit(0.0)))
     w = Window.partitionBy(key).orderBy(F.col("total").desc(), F.col(master_id))
     ranked = scored.withColumn("total", total).withColumns({"_n": F.row_number().over(w), "_second": F.lead("total", 1, 0.0).over(w)}).where(F.col("_n") <= rules.keep)
@@ -89,19 +90,50 @@ def fuzzy_tier(pairs: DataFrame, key: str, master_id: str, rules: Fuzzy) -> Data
     return grouped.select(key, *decision(F.when(ok, "matched").otherwise("unmatched"), F.when(ok, "high_confidence_fuzzy").otherwise("fuzzy_below_threshold"), F.col("total"), F.when(ok, F.slice("candidates", 1, 1)).otherwise(F.array().cast(_NONE)), F.col("candidates")))
 
 
+def _tokens(c: Column) -> Column:
+    """A name's characters, each numbered among its equals, from the highest code point down: a multiset as a set."""
+    chars = F.sort_array(F.filter(F.split(c, ""), lambda v: v != ""), asc=False)
+    return F.transform(chars, lambda v, k: F.concat(v, (k + 1 - F.array_position(chars, v)).cast("string")))
+
+
+def name_pairs(source: DataFrame, master: DataFrame, key: str, master_id: str, on: Sequence[str] = (), least: float = 0.80) -> DataFrame:
+    """All pairs of `on` blocks whose names s_name and m_name have a ratio of `least` at least, as name_score.
+
+    A ratio 2 M / T of `least` bounds the lengths, and M is at most what the names share as multisets of characters. So
+    two such names share one of the first tokens of each, in any fixed order: an equi-join instead of a cross join.
+    Each pair of different names is compared once, however many rows have them.
+    """
+    other = least / (2 - least)  # the shorter name's length, as a part of the longer one's, is at least this
+
+    def begun(df: DataFrame, c: str) -> DataFrame:
+        n = F.length(c)
+        # of n characters this many are shared at least, with the shortest partner
+        shared = F.ceil(n * other - 1e-9).cast("int")
+        return df.withColumn("_token", F.explode(F.slice(_tokens(F.col(c)), F.lit(1), F.greatest(n - shared + 1, F.lit(0)))))
+
+    lengths = (F.length("m_name") >= F.length("s_name") * other - 1e-9) & (F.length("s_name") >= F.length("m_name") * other - 1e-9)
+    keys = source.select(*on, "s_name").distinct(), master.select(*on, "m_name").distinct()
+    near = begun(keys[0], "s_name").join(begun(keys[1], "m_name"), [*on, "_token"]).where(lengths).select("s_name", "m_name", *on).distinct()
+    near = near.select(*on, "s_name", "m_name", similarity("s_name", "m_name").alias("name_score")).where(F.col("name_score") >= least)
+    return source.join(near, [*on, "s_name"]).join(master, [*on, "m_name"])
+
+
 def _keyed(df: DataFrame, municipality: str, name: str, address: str, prefix: str, name_key=name_key_reference, addr_key=address_key) -> DataFrame:
     return df.withColumns({f"{prefix}muni": municipality_key(F.col(municipality)), f"{prefix}name": name_key(F.col(name)), f"{prefix}addr": addr_key(F.col(address))})
 
 
 def municipality_block(source: DataFrame, master: DataFrame) -> DataFrame:
-    """(s_muni, master _row) pairs whose municipality is contained in the master's address; blank takes all.
+    """s_muni of the municipalities that some master row holds in its address or municipality; blank is in all.
 
-    Containment is worked out once for each distinct municipality and distinct address, not for each record.
+    Containment is an equi-join: a municipality holds a piece of its own length in the address. The lengths of the
+    municipalities are few; the pieces of all of them are cut from each distinct address.
     """
     names = source.select("s_muni").distinct()
-    places = master.select("m_muni", "m_addr").distinct()
-    inside = (F.col("s_muni") == "") | F.contains("m_addr", "s_muni") | F.contains("m_muni", "s_muni")
-    return places.join(names, inside).select("s_muni", "m_muni", "m_addr")
+    lengths = names.where("s_muni <> ''").groupBy().agg(F.sort_array(F.collect_set(F.length("s_muni"))).alias("_lengths"))  # one row
+    places = master.select(F.explode(F.array("m_muni", "m_addr")).alias("_place")).distinct().where("_place <> ''").crossJoin(F.broadcast(lengths))
+    pieces = F.flatten(F.transform("_lengths", lambda n: F.transform(F.when(F.length("_place") >= n, F.sequence(F.lit(1), F.length("_place") - n + 1)).otherwise(F.array().cast("array<int>")), lambda at: F.substring(F.col("_place"), at, n))))
+    held = places.select(F.explode(pieces).alias("s_muni")).distinct()
+    return names.join(held, "s_muni", "left_semi").unionByName(names.where("s_muni = ''"))
 
 
 def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", master_id: str = "common_id", municipality: str = "municipality", name: str = "shelter_name", address: str = "address") -> DataFrame:
@@ -135,13 +167,14 @@ def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", m
         method = F.when(one_here, "exact_name_municipality").when(group_here, "exact_name_municipality_same_address").when(conflict, "exact_name_municipality_conflict").when(group, "exact_name_same_address").otherwise("exact_name_multiple_addresses")
         score = F.when(one_here | group_here, 0.99).when(~conflict & group, 0.97).otherwise(0.0)
         matches = F.when(one_here | group_here, F.col("ids_in")).when(~conflict & group, F.col("ids")).otherwise(F.array().cast(_NONE))
-        return g.select(key, *decision(status, method, score, matches, F.when(status.isin("ambiguous", "unmatched"), F.slice("ids", 1, 3)).otherwise(F.array().cast(_NONE))))
+        return g.select(key, *decision(status, method, score, matches, F.when(status == "unmatched", F.col("ids")).when(status == "ambiguous", F.when(F.size("ids_in") > 0, F.col("ids_in")).otherwise(F.col("ids"))).otherwise(F.array().cast(_NONE))))
 
     def fuzzy(rest: DataFrame) -> DataFrame:
-        blocks = municipality_block(rest, m)
-        inside = rest.join(blocks, "s_muni").join(m, ["m_muni", "m_addr"])
-        outside = rest.join(blocks.select("s_muni").distinct(), "s_muni", "left_anti").crossJoin(m)  # a municipality the master doesn't know: all rows
-        return fuzzy_tier(inside.unionByName(outside, allowMissingColumns=True).select(key, "m_id", "s_name", "s_addr", "m_name", "m_addr"), key, "m_id", REFERENCE_FUZZY)
+        near = name_pairs(rest, m, key, "m_id").withColumn("_in", in_block)
+        # a municipality that no master address holds takes the whole master, any other its own rows
+        known = cut_lineage(municipality_block(rest, m).select("s_muni").distinct().withColumn("_known", F.lit(True)))
+        pairs = near.join(known, "s_muni", "left").where(F.col("_in") | F.col("_known").isNull())
+        return fuzzy_tier(pairs.select(key, "m_id", "name_score", "s_name", "s_addr", "m_name", "m_addr"), key, "m_id", REFERENCE_FUZZY)
 
     return cascade(s, key, [missing, exact, same, fuzzy])
 
@@ -154,53 +187,78 @@ def enrich_reference(decisions: DataFrame, master: DataFrame, key: str = "row_id
     return decisions.join(agg, key, "left").withColumn("reference_match_count", F.size("matches"))
 
 
-def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", master_id: str = "portal_shelter_id", municipality: str = "municipality", name: str = "shelter_name", address: str = "address", lat: str = "latitude", lon: str = "longitude", m_lat: str = "portal_latitude", m_lon: str = "portal_longitude") -> DataFrame:
-    """Tiered match to the capacity master: known id, exact triple, name in municipality, nearest, fuzzy."""
-    s = _keyed(source, municipality, name, address, "s_", name_key_capacity)
-    has_id, has_point = master_id in source.columns, lat in source.columns
-    s = s.select(key, "s_muni", "s_name", "s_addr", (F.col(master_id).cast("string") if has_id else F.lit("")).alias("s_id"), (F.col(lat).try_cast("double") if has_point else F.lit(None).cast("double")).alias("s_lat"), (F.col(lon).try_cast("double") if has_point else F.lit(None).cast("double")).alias("s_lon"))
-    m = _keyed(master.where(F.trim(F.coalesce(F.col(name), F.lit(""))) != ""), municipality, name, address, "m_", name_key_capacity)
-    m = m.select(F.col(master_id).cast("string").alias("m_id"), "m_muni", "m_name", "m_addr", F.col(m_lat).try_cast("double").alias("m_lat"), F.col(m_lon).try_cast("double").alias("m_lon"))
+def _first_filled(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The first non-blank of those columns that df has."""
+    return F.coalesce(*(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in columns if c in df.columns), F.lit(None).cast("string"))
+
 
-    def near(rest: DataFrame, same_name: bool) -> DataFrame:
-        pairs = radius_join(rest, m, Weights().radius_m, "s_lat", "s_lon", "m_lat", "m_lon", max_latitude=46.0).where((F.col("s_muni") == "") | (F.col("s_muni") == F.col("m_muni")))
-        if same_name:
-            pairs = pairs.where("s_name = m_name")
-        scored = pairs.withColumns({"name_score": similarity("s_name", "m_name"), "address_score": F.coalesce(similarity("s_addr", "m_addr"), F.lit(0.0))})
-        return accept_nearest(scored, key, tie="m_id")
+def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", master_id: str = "portal_shelter_id", municipality: str = "municipality", name: str = "shelter_name", address: str = "address", lat: Sequence[str] = ("reference_latitude", "portal_latitude", "latitude"), lon: Sequence[str] = ("reference_longitude", "portal_longitude", "longitude"), m_lat: str = "portal_latitude", m_lon: str = "portal_longitude") -> DataFrame:
+    """Tiered match to the capacity master: known id, exact triple, name in municipality, nearest, fuzzy.
 
-    def spatial(rest: DataFrame, same_name: bool = False) -> DataFrame:
-        hit = near(rest, same_name).where("status is not null")
+    A blank municipality is inferred from the address. A record's pool is its municipality, or the whole master if it has
+    none or the master doesn't know it. Without a master all rows are `master_unavailable`.
+    """
+    place = F.when(F.trim(F.coalesce(F.col(municipality), F.lit(""))) != "", F.col(municipality)).otherwise(infer_municipality(clean_text(F.col(address))))
+    s = _keyed(source.withColumn(municipality, place), municipality, name, address, "s_", name_key_capacity)
+    s_id = F.trim(F.coalesce(F.col(master_id).cast("string"), F.lit(""))) if master_id in source.columns else F.lit("")
+    s = s.select(key, "s_muni", "s_name", "s_addr", s_id.alias("s_id"), parse_coordinate(_first_filled(s, lat), -90, 90).alias("s_lat"), parse_coordinate(_first_filled(s, lon), -180, 180).alias("s_lon"))
+    m = _keyed(master.where(F.trim(F.coalesce(F.col(name), F.lit(""))) != ""), municipality, name, address, "m_", name_key_capacity)
+    m = m.select(F.coalesce(F.col(master_id).cast("string"), F.lit("")).alias("m_id"), "m_muni", "m_name", "m_addr", parse_coordinate(F.col(m_lat).cast("string"), -90, 90).alias("m_lat"), parse_coordinate(F.col(m_lon).cast("string"), -180, 180).alias("m_lon"))
+    # the pool of each municipality: its own rows, or all where the master has none
+    known = m.select(F.col("m_muni").alias("s_muni"), F.lit(True).alias("_known")).where("s_muni <> ''").distinct()
+    s = s.join(known, "s_muni", "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    here = (F.col("s_muni") == "") | (F.col("s_muni") == F.col("m_muni"))
+    in_pool = ~F.col("_known") | (F.col("s_muni") == F.col("m_muni"))
+
+    def by_place(rest: DataFrame, allowed: Column) -> DataFrame:
+        pairs = radius_join(rest, m, Weights().radius_m, "s_lat", "s_lon", "m_lat", "m_lon").where(allowed)
+        both = (F.col("s_addr") != "") & (F.col("m_addr") != "")
+        scored = pairs.withColumns({"name_score": similarity("s_name", "m_name"), "address_score": F.coalesce(F.when(both, similarity(F.when(both, F.col("s_addr")), "m_addr")), F.lit(0.0))})
+        hit = accept_nearest(scored, key, tie="m_id").where("status is not null")
         return hit.select(key, *decision(F.col("status"), F.col("method"), F.col("score"), F.when(F.col("status") == "matched", F.array("m_id")).otherwise(F.array().cast(_NONE)), F.array("m_id")))
 
-    def known(rest: DataFrame) -> DataFrame:
-        return rest.join(m.select(F.col("m_id").alias("s_id")).distinct(), "s_id").select(key, *decision("matched", "portal_shelter_id", 1.0, F.array("s_id")))
+    def unavailable(rest: DataFrame) -> DataFrame:
+        return rest.crossJoin(F.broadcast(m.agg(F.count("*").alias("_rows")))).where("_rows = 0").select(key, *decision("master_unavailable", "capacity_master_not_found", 0.0))
+
+    def by_id(rest: DataFrame) -> DataFrame:
+        return rest.join(m.select(F.col("m_id").alias("s_id")).where("s_id <> ''").distinct(), "s_id").select(key, *decision("matched", "portal_shelter_id", 1.0, F.array("s_id")))
 
     triple = m.groupBy(F.col("m_muni").alias("s_muni"), F.col("m_name").alias("s_name"), F.col("m_addr").alias("s_addr")).agg(F.array_sort(F.collect_list("m_id")).alias("ids"))
-    names = m.groupBy(F.col("m_muni").alias("s_muni"), F.col("m_name").alias("s_name")).agg(F.array_sort(F.collect_list("m_id")).alias("ids"), F.min("m_addr").alias("m_addr"))
 
     def exact(rest: DataFrame) -> DataFrame:
         hit = rest.join(triple, ["s_muni", "s_name", "s_addr"])
         return hit.where(F.size("ids") == 1).select(key, *decision("matched", "exact_municipality_name_address", 1.0, F.col("ids")))
 
-    def several(keys: list[str], groups: DataFrame, method: str) -> Tier:
-        def tier(rest: DataFrame) -> DataFrame:
-            hit = rest.join(groups, keys).where(F.size("ids") > 1)
-            by_place = spatial(hit.select(rest.columns), same_name=True)
-            return by_place.unionByName(hit.join(by_place.select(key), key, "left_anti").select(key, *decision("ambiguous", method, 0.0, None, F.slice("ids", 1, 3))))
+    def several(rest: DataFrame, counted: DataFrame, allowed: Column, method: str) -> DataFrame:
+        """Rows with several candidates `ids`: the nearest of them, or none."""
+        hit = cut_lineage(counted.where(F.size("ids") > 1))
+        placed = by_place(hit.select(rest.columns), allowed)
+        return placed.unionByName(hit.join(placed.select(key), key, "left_anti").select(key, *decision("ambiguous", method, 0.0, None, F.col("ids"))))
+
+    def same_key(rest: DataFrame) -> DataFrame:
+        equal = (F.col("s_muni") == F.col("m_muni")) & (F.col("s_name") == F.col("m_name")) & (F.col("s_addr") == F.col("m_addr"))
+        return several(rest, rest.join(triple, ["s_muni", "s_name", "s_addr"]), equal, "duplicate_exact_key")
 
-        return tier
+    def namesakes(rest: DataFrame) -> DataFrame:
+        rows = rest.join(m.withColumnRenamed("m_name", "s_name"), "s_name").where(here)
+        return rest.join(rows.groupBy(key).agg(F.array_sort(F.collect_list("m_id")).alias("ids"), F.min("m_addr").alias("m_addr")), key)
 
     def one_name(rest: DataFrame) -> DataFrame:
-        hit = rest.join(names.where(F.size("ids") == 1), ["s_muni", "s_name"]).withColumn("_blank", (F.col("s_addr") == "") | (F.col("m_addr") == ""))
+        hit = namesakes(rest).where(F.size("ids") == 1).withColumn("_blank", (F.col("s_addr") == "") | (F.col("m_addr") == ""))
         hit = hit.withColumn("_score", F.when(F.col("_blank"), 0.97).otherwise(similarity("s_addr", "m_addr"))).where(F.col("_blank") | (F.col("_score") >= 0.72))
-        return hit.select(key, *decision("matched", F.when(F.col("_blank"), "exact_municipality_name").otherwise("exact_municipality_name_similar_address"), F.col("_score"), F.col("ids")))
+        return hit.select(key, *decision("matched", F.when(F.col("_blank"), "exact_name_municipality").otherwise("exact_name_municipality_address_similar"), F.col("_score"), F.col("ids")))
+
+    def same_name(rest: DataFrame) -> DataFrame:
+        return several(rest, namesakes(rest), here & (F.col("s_name") == F.col("m_name")), "exact_name_multiple_capacity_rows")
 
     def fuzzy(rest: DataFrame) -> DataFrame:
-        pairs = rest.join(m.withColumnRenamed("m_muni", "s_muni"), "s_muni")
-        return fuzzy_tier(pairs.select(key, "m_id", "s_name", "s_addr", "m_name", "m_addr"), key, "m_id", CAPACITY_FUZZY)
+        inside = name_pairs(rest.where("_known"), m.withColumnRenamed("m_muni", "s_muni"), key, "m_id", ["s_muni"])
+        outside = name_pairs(rest.where("not _known"), m.drop("m_muni"), key, "m_id")
+        columns = [key, "m_id", "name_score", "s_name", "s_addr", "m_name", "m_addr"]
+        pairs = inside.select(columns).unionByName(outside.select(columns))
+        return fuzzy_tier(pairs, key, "m_id", CAPACITY_FUZZY)
 
-    tiers = [known, exact, several(["s_muni", "s_name", "s_addr"], triple, "duplicate_exact_key"), one_name, several(["s_muni", "s_name"], names, "exact_name_multiple_capacity_rows"), spatial, fuzzy]
+    tiers = [unavailable, by_id, exact, same_key, one_name, same_name, lambda rest: by_place(rest, in_pool), fuzzy]
     return cascade(s, key, tiers)
 
 
@@ -224,9 +282,11 @@ def match_manual(source: DataFrame, manual: DataFrame, key: str = "row_id", shel
     def identity(rest: DataFrame) -> DataFrame:
         hit = rest.join(triple, ["s_muni", "s_name", "s_addr"])
         one = F.size("ids") == 1
-        return hit.select(key, *decision(F.when(one, "matched").otherwise("ambiguous"), F.when(one, "exact_identity").otherwise("duplicate_identity"), F.when(one, 1.0).otherwise(0.0), F.when(one, F.col("ids")).otherwise(F.array().cast(_NONE)), F.col("ids")))
+        return hit.select(key, *decision(F.when(one, "matched").otherwise("ambiguous"), F.when(one, "manual_exact_identity").otherwise("manual_duplicate_identity"), F.when(one, 1.0).otherwise(0.0), F.when(one, F.col("ids")).otherwise(F.array().cast(_NONE)), F.col("ids")))
 
-    return cascade(keyed, key, [by(F.col("_a"), "shelter_id"), by(F.col("_b"), "web_shelter_id"), by(F.concat(F.lit("web:"), F.when(F.col("_b") != "", F.col("_b"))), "prefixed_web_shelter_id"), identity])
+    web = F.when(F.col("_b") != "", F.when(F.startswith("_b", F.lit("web:")), F.col("_b")).otherwise(F.concat(F.lit("web:"), "_b")))
+    tiers = [by(F.col("_a"), "manual_shelter_id"), by(F.col("_b"), "manual_web_shelter_id"), by(web, "manual_web_shelter_id"), identity]
+    return cascade(keyed, key, tiers, ("unmatched", "manual_no_match"))
 
 
 def choose_coordinates(pairs: Sequence[tuple[str, Column]]) -> list[Column]:
@@ -241,6 +301,7 @@ class Municipal:
     name_weight: float = 0.64
     address_weight: float = 0.32
     open_bonus: float = 0.04
+    open_margin: float = 0.025
     same_address: float = 0.72
     same_address_margin: float = 0.04
     same_name: float = 0.70
@@ -255,27 +316,29 @@ def match_municipal(source: DataFrame, master: DataFrame, aliases: DataFrame, ke
 
     source: key, municipality, shelter_name, address. master: shelter_id, municipality, shelter_name, address,
     is_open (that day), capacity. aliases: municipality, source_shelter_name, source_address, shelter_id, _ord.
-    Tiers: alias; exact name and address (open first); same address; unique exact name; fuzzy; and for
-    records without an address: unique name, unique web row with capacity and address, unique open row,
-    unique open web row.
+    Tiers: alias; exact name and address (open first); same address; unique exact name; fuzzy. A record without an
+    address that these leave unmatched takes a unique name, the unique web row with capacity and address, the unique open
+    row or the unique open web row of its name; several of a name are ambiguous; else the first tiers' answer stands.
     """
     s = _keyed(source, "municipality", "shelter_name", "address", "s_", name_key_municipal, address_key_municipal).select(key, "s_muni", "s_name", "s_addr", name_variants(F.col("s_name")).alias("s_vars"))
-    m = _keyed(master, "municipality", "shelter_name", "address", "m_", name_key_municipal, address_key_municipal).select(F.col("shelter_id").alias("m_id"), F.col("m_muni").alias("s_muni"), "m_name", "m_addr", name_variants(F.col("m_name")).alias("m_vars"), F.coalesce(F.col("is_open"), F.lit(False)).alias("m_open"), F.coalesce(F.col("capacity").try_cast("long"), F.lit(0)).alias("m_cap"))
+    m = _keyed(master, "municipality", "shelter_name", "address", "m_", name_key_municipal, address_key_municipal).select(F.col("shelter_id").alias("m_id"), F.col("m_muni").alias("s_muni"), "m_name", "m_addr", name_variants(F.col("m_name")).alias("m_vars"), F.coalesce(F.col("is_open"), F.lit(False)).alias("m_open"), F.coalesce(F.replace(F.trim(F.col("capacity").cast("string")), F.lit(","), F.lit("")).try_cast("double"), F.lit(0.0)).alias("m_cap"))
     a = aliases.select(municipality_key(F.col("municipality")).alias("s_muni"), name_key_municipal(F.col("source_shelter_name")).alias("s_name"), address_key_municipal(F.col("source_address")).alias("s_addr"), "shelter_id", "_ord")
+    a = a.where("s_muni <> '' and s_name <> '' and trim(shelter_id) <> ''")
     exact_alias = a.groupBy("s_muni", "s_name", "s_addr").agg(F.max_by("shelter_id", "_ord").alias("m_id"))
     any_alias = a.groupBy("s_muni", "s_name").agg(F.max_by("shelter_id", "_ord").alias("m_id"))
     ids = m.select("m_id", F.lit(True).alias("_there"))
 
-    def by_alias(groups: DataFrame, keys: list[str]) -> Tier:
-        def tier(rest: DataFrame) -> DataFrame:
-            hit = rest.join(groups, keys).join(ids, "m_id", "left")
-            ok = F.coalesce("_there", F.lit(False))
-            return hit.select(key, *decision(F.when(ok, "matched").otherwise("unmatched"), F.when(ok, "manual_alias").otherwise("alias_target_missing"), F.when(ok, 1.0).otherwise(0.0), F.when(ok, F.array("m_id")).otherwise(F.array().cast(_NONE))))
+    found_alias = exact_alias.select("s_muni", "s_name", "s_addr", F.col("m_id").alias("_exact")).where("s_addr <> ''")
+    s = s.join(found_alias, ["s_muni", "s_name", "s_addr"], "left").join(any_alias.withColumnRenamed("m_id", "_any"), ["s_muni", "s_name"], "left").withColumn("_alias", F.coalesce("_exact", "_any")).drop("_exact", "_any")
+    dangling = F.col("_alias").isNotNull()
 
-        return tier
+    def by_alias(rest: DataFrame) -> DataFrame:
+        return rest.where(dangling).join(ids.withColumnRenamed("m_id", "_alias"), "_alias").select(key, *decision("matched", "manual_alias", 1.0, F.array("_alias"), F.array("_alias")))
 
-    def no_pool(rest: DataFrame) -> DataFrame:
-        return rest.join(m.select("s_muni").distinct(), "s_muni", "left_anti").select(key, *decision("unmatched", "municipality_not_found", 0.0))
+    def lost(rest: DataFrame) -> DataFrame:
+        """Answers of the first tiers to records that they can't compare."""
+        nowhere = rest.where(~dangling).join(m.select("s_muni").distinct(), "s_muni", "left_anti")
+        return rest.where(dangling).select(key, *decision("unmatched", "alias_target_missing", 0.0)).unionByName(nowhere.select(key, *decision("unmatched", "municipality_not_found", 0.0)))
 
     def scored(rest: DataFrame) -> DataFrame:
         pairs = rest.join(m, "s_muni")
@@ -286,45 +349,54 @@ def match_municipal(source: DataFrame, master: DataFrame, aliases: DataFrame, ke
         return pairs.withColumn("total", total)
 
     def scores_tier(rest: DataFrame) -> DataFrame:
-        rows = scored(rest)
-        w = Window.partitionBy(key).orderBy(F.col("total").desc(), F.col("m_id"))
-        addr_w = Window.partitionBy(key, "_same_addr").orderBy(F.col("total").desc(), F.col("m_id"))
-        rows = rows.withColumns({"_n": F.row_number().over(w), "_second": F.lead("total", 1, 0.0).over(w), "_na": F.row_number().over(addr_w), "_second_a": F.lead("total", 1, 0.0).over(addr_w)})
+        rows = scored(rest.where(~dangling))
         both = F.col("_same_name") & F.col("_same_addr")
-        open_both = both & F.col("m_open")
+        order = [F.col("total").desc(), F.col("m_id")]
+        rows = rows.withColumn("_both", both)
+        ranks = {"": Window.partitionBy(key), "a": Window.partitionBy(key, "_same_addr"), "b": Window.partitionBy(key, "_both"), "n": Window.partitionBy(key, "_same_name")}
+        rows = rows.withColumns({f"_n{x}": F.row_number().over(w.orderBy(*order)) for x, w in ranks.items()})
+        row = F.struct("total", "m_id", "m_open")
+        pick = lambda cond, x, n: F.max(F.when(cond & (F.col(f"_n{x}") == n), row))
+        best = lambda cond, x: F.transform(F.array_sort(F.collect_list(F.when(cond & (F.col(f"_n{x}") <= 2), F.struct(f"_n{x}", "m_id")))), lambda v: v["m_id"])
+        yes = F.lit(True)
         g = rows.groupBy(key).agg(
-            F.count_if(both).alias("n_both"), F.count_if(open_both).alias("n_open"), F.min(F.when(both, F.col("m_id"))).alias("both_id"), F.min(F.when(open_both, F.col("m_id"))).alias("open_id"),
-            *(F.max(F.when(F.col("_same_addr") & (F.col("_na") == 1), F.col(c))).alias(f"a_{x}") for c, x in (("m_id", "id"), ("total", "total"), ("_second_a", "second"))),
-            F.count_if("_same_name").alias("n_name"), F.min(F.when(F.col("_same_name"), F.col("m_id"))).alias("name_id"), F.max(F.when(F.col("_same_name"), F.col("total"))).alias("name_total"),
-            *(F.max(F.when(F.col("_n") == 1, F.col(c))).alias(f"top_{x}") for c, x in (("m_id", "id"), ("total", "total"), ("_second", "second"))),
-            F.transform(F.array_sort(F.collect_list(F.when(F.col("_n") <= 2, F.struct("_n", "m_id")))), lambda x: x["m_id"]).alias("two"),
+            F.count_if("_both").alias("n_both"), F.count_if(F.col("_both") & F.col("m_open")).alias("n_open"), F.max(F.when(F.col("_both") & F.col("m_open"), row)).alias("opened"), F.count_if("_same_name").alias("n_name"),
+            *(pick(cond, x, n).alias(f"{name}{n}") for name, cond, x in (("top", yes, ""), ("addr", F.col("_same_addr"), "a"), ("both", F.col("_both"), "b"), ("named", F.col("_same_name"), "n")) for n in (1, 2)),
+            best(yes, "").alias("two"), best(F.col("_same_addr"), "a").alias("two_addr"), best(F.col("_both"), "b").alias("two_both"), best(F.col("_same_name"), "n").alias("two_name"),
         )
+        second = lambda name: F.coalesce(F.col(f"{name}2.total"), F.lit(0.0))
+        selected = F.when(F.col("n_open") == 1, F.col("opened")).otherwise(F.col("both1"))
+        one = F.col("n_both") == 1
+        # fixed values: methods
         tiers = [
-            (F.col("n_both") == 1, "matched", "exact_name_address", F.lit(1.0), F.col("both_id")),
-            (F.col("n_open") == 1, "matched", "exact_name_address_open", F.lit(1.0), F.col("open_id")),
-            ((F.col("a_total") >= rules.same_address) & (F.col("a_total") - F.col("a_second") >= rules.same_address_margin), "matched", "exact_address", F.col("a_total"), F.col("a_id")),
-            ((F.col("n_name") == 1) & (F.col("name_total") >= rules.same_name), "matched", "unique_exact_name", F.col("name_total"), F.col("name_id")),
-            ((F.col("top_total") >= rules.fuzzy) & (F.col("top_total") - F.col("top_second") >= rules.fuzzy_margin), "matched", "high_confidence_fuzzy", F.col("top_total"), F.col("top_id")),
+            (one | ((F.col("n_both") > 1) & ((F.col("n_open") == 1) | (selected["total"] - F.col("both2.total") >= rules.open_margin))), F.when(one, "exact_name_address").otherwise("exact_name_address_open_priority"), selected, "two_both"),
+            ((F.col("addr1.total") >= rules.same_address) & (F.col("addr1.total") - second("addr") >= rules.same_address_margin), F.lit("exact_address_name_similarity"), F.col("addr1"), "two_addr"),
+            ((F.col("n_name") == 1) & (F.col("named1.total") >= rules.same_name), F.lit("exact_normalized_name"), F.col("named1"), "two_name"),
+            ((F.col("top1.total") >= rules.fuzzy) & (F.col("top1.total") - second("top") >= rules.fuzzy_margin), F.lit("high_confidence_fuzzy"), F.col("top1"), "two"),
         ]
-        chosen = F.coalesce(*(F.when(cond, F.struct(F.lit(status).alias("status"), F.lit(method).alias("method"), score.alias("score"), mid.alias("id"))) for cond, status, method, score, mid in tiers))
+        chosen = F.coalesce(*(F.when(cond, F.struct(method.alias("method"), hit["total"].alias("score"), hit["m_id"].alias("id"), F.col(two).alias("two"))) for cond, method, hit, two in tiers))
         return g.withColumn("_d", chosen)
 
     def decided(rest: DataFrame) -> DataFrame:
-        return scores_tier(rest).where("_d is not null").select(key, *decision(F.col("_d.status"), F.col("_d.method"), F.col("_d.score"), F.array("_d.id"), F.col("two")))
+        return scores_tier(rest).where("_d is not null").select(key, *decision("matched", F.col("_d.method"), F.col("_d.score"), F.array("_d.id"), F.col("_d.two")))
 
     def no_address(rest: DataFrame) -> DataFrame:
-        rows = rest.where("s_addr = ''").join(m, "s_muni").where(F.arrays_overlap("s_vars", "m_vars"))
+        rows = scored(rest.where("s_addr = ''")).where("_same_name")
         web = F.startswith("m_id", F.lit("web:"))
         good = web & (F.col("m_cap") > 0) & (F.length("m_addr") >= rules.min_address_key)
-        options = [(F.lit(True), "exact_normalized_name_without_source_address", 0.97), (good, "exact_name_web_master_quality_without_source_address", 0.95), (F.col("m_open"), "exact_name_open_without_source_address", 0.96), (web & F.col("m_open"), "exact_name_open_web_without_source_address", 0.95)]
-        g = rows.groupBy(key).agg(*(x for k, (cond, _, _) in enumerate(options) for x in (F.count_if(cond).alias(f"n{k}"), F.min(F.when(cond, F.col("m_id"))).alias(f"id{k}"))), F.slice(F.array_sort(F.collect_set("m_id")), 1, 2).alias("two"))
-        one = F.coalesce(*(F.when(F.col(f"n{k}") == 1, F.struct(F.lit(method).alias("method"), F.lit(score).alias("score"), F.col(f"id{k}").alias("id"))) for k, (_, method, score) in enumerate(options)))
+        # fixed values: methods
+        options = [(F.lit(True), "exact_normalized_name_without_source_address", 0.97), (good, "exact_name_web_master_quality_without_source_address", 0.95), (F.col("m_open"), "exact_normalized_name_open_priority_without_source_address", 0.96), (web & F.col("m_open"), "exact_normalized_name_open_web_priority_without_source_address", 0.95)]
+        w = Window.partitionBy(key).orderBy(F.col("total").desc(), "m_id")
+        open_w = Window.partitionBy(key, "m_open").orderBy(F.col("total").desc(), "m_id")
+        rows = rows.withColumns({"_n": F.row_number().over(w), "_o": F.row_number().over(open_w)})
+        best = lambda n, cond: F.transform(F.array_sort(F.collect_list(F.when(cond & (F.col(n) <= 2), F.struct(n, "m_id")))), lambda v: v["m_id"])
+        g = rows.groupBy(key).agg(*(x for k, (cond, _, _) in enumerate(options) for x in (F.count_if(cond).alias(f"n{k}"), F.min(F.when(cond, F.col("m_id"))).alias(f"id{k}"))), F.max("total").alias("top"), best("_n", F.lit(True)).alias("two"), best("_o", F.col("m_open")).alias("two_open"))
+        one = F.coalesce(*(F.when(F.col(f"n{k}") == 1, F.struct(F.lit(method).alias("method"), F.lit(score).alias("score"), F.col(f"id{k}").alias("id"), F.col("two_open" if k > 1 else "two").alias("two"))) for k, (_, method, score) in enumerate(options)))
         ok = F.col("_d").isNotNull()
-        return g.withColumn("_d", one).select(key, *decision(F.when(ok, "matched").otherwise("ambiguous"), F.when(ok, F.col("_d.method")).otherwise("exact_name_multiple_without_source_address"), F.when(ok, F.col("_d.score")).otherwise(0.0), F.when(ok, F.array("_d.id")).otherwise(F.array().cast(_NONE)), F.col("two")))
+        return g.withColumn("_d", one).select(key, *decision(F.when(ok, "matched").otherwise("ambiguous"), F.when(ok, F.col("_d.method")).otherwise("exact_name_multiple_without_source_address"), F.when(ok, F.col("_d.score")).otherwise(F.col("top")), F.when(ok, F.array("_d.id")).otherwise(F.array().cast(_NONE)), F.when(ok, F.col("_d.two")).otherwise(F.col("two"))))
 
     def unsure(rest: DataFrame) -> DataFrame:
-        rows = scores_tier(rest)
-        close = F.col("top_total") >= rules.ambiguous
-        return rows.select(key, *decision(F.when(close, "ambiguous").otherwise("unmatched"), F.when(close, "fuzzy_close").otherwise("fuzzy_below_threshold"), F.col("top_total"), None, F.col("two")))
+        close = F.col("top1.total") >= rules.ambiguous
+        return scores_tier(rest).select(key, *decision(F.when(close, "ambiguous").otherwise("unmatched"), F.when(close, "candidate_margin_too_small").otherwise("no_high_confidence_candidate"), F.col("top1.total"), None, F.col("two")))
 
-    return cascade(s, key, [by_alias(exact_alias, ["s_muni", "s_name", "s_addr"]), by_alias(any_alias, ["s_muni", "s_name"]), no_pool, decided, no_address, unsure])
+    return cascade(s, key, [by_alias, decided, no_address, lost, unsure])

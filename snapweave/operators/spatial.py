@@ -19,18 +19,19 @@ def _steps(radius_m: float, max_latitude: float) -> tuple[float, float]:
     return lat, lat / max(math.cos(math.radians(min(max_latitude, 89.9))), 1e-3)
 
 
-def radius_join(points: DataFrame, targets: DataFrame, radius_m: float, p_lat: str, p_lon: str, t_lat: str, t_lon: str, max_latitude: float = 60.0, on: list[str] | None = None, spread: int = 1) -> DataFrame:
+def radius_join(points: DataFrame, targets: DataFrame, radius_m: float, p_lat: str, p_lon: str, t_lat: str, t_lon: str, max_latitude: float = 80.0, on: list[str] | None = None, spread: int = 1) -> DataFrame:
     """Pairs of points and targets at most radius_m apart, with `distance_m`.
 
     Targets are copied to the nine cells around their own, points stay in one cell, and an equi-join on cell
     (and on the columns `on`, if given) makes the candidates; the great-circle distance decides. Crowded cells
-    are dealt over `spread` tasks: points by a hash, targets copied to each. Latitudes beyond max_latitude
-    need wider cells and are refused by giving no pair; pass the largest latitude of the data.
+    are dealt over `spread` tasks: points by a hash, targets copied to each. Cells are wide enough for latitudes up
+    to max_latitude; a point or target beyond it raises, as pairs would be missed.
     """
     lat, lon = _steps(radius_m, max_latitude)
     cell = lambda a, o: (F.floor(a / lat), F.floor(o / lon))
-    px, py = cell(F.col(p_lat), F.col(p_lon))
-    tx, ty = cell(F.col(t_lat), F.col(t_lon))
+    beyond = lambda c: F.when(F.abs(F.col(c)) > max_latitude, F.raise_error(F.concat(F.lit("latitude beyond max_latitude: "), F.col(c).cast("string"))).cast("double")).otherwise(F.col(c))
+    px, py = cell(beyond(p_lat), F.col(p_lon))
+    tx, ty = cell(beyond(t_lat), F.col(t_lon))
     around = F.array(*(F.struct((tx + i).alias("_x"), (ty + j).alias("_y")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     left = points.where(F.col(p_lat).isNotNull() & F.col(p_lon).isNotNull()).withColumns({"_x": px, "_y": py, "_s": F.pmod(F.xxhash64(*points.columns), F.lit(spread)).cast("int")})
     right = targets.where(F.col(t_lat).isNotNull() & F.col(t_lon).isNotNull()).withColumn("_c", F.explode(around)).withColumns({"_x": F.col("_c._x"), "_y": F.col("_c._y"), "_s": F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))}).drop("_c")
@@ -53,6 +54,7 @@ class Acceptance:
     tie_m: float = 12.0
     tie_name: float = 0.04
     tiers: tuple = ((20.0, 0.55, 0.0, 0.0), (75.0, 0.72, 0.35, 0.90), (200.0, 0.90, 0.55, 2.0))
+    methods: tuple = ("coordinate_with_name_20m", "coordinate_name_address_75m", "coordinate_high_similarity_200m")  # fixed values
     low: float = 0.80
     high: float = 0.999
     bonus_near: float = 0.08
@@ -80,5 +82,6 @@ def accept_nearest(candidates: DataFrame, key: str, name: str = "name_score", ad
     bonus = F.when(F.col("distance_m") <= rules.tiers[0][0], rules.bonus_near).otherwise(rules.bonus_far)
     score = F.least(F.lit(rules.high), F.greatest(F.lit(rules.low), combined_score(F.col(name), F.col(address), F.col("distance_m"), weights) + bonus))
     status = F.when(near_tie, "ambiguous").when(ok, "matched")
-    method = F.when(near_tie, "coordinate_near_tie").when(ok, F.concat(F.lit("coordinate_within_"), F.when(F.col("distance_m") <= rules.tiers[0][0], "20m").when(F.col("distance_m") <= rules.tiers[1][0], "75m").otherwise("200m")))
+    tier = F.coalesce(*(F.when(F.col("distance_m") <= metres, F.lit(name_of)) for (metres, *_), name_of in zip(rules.tiers, rules.methods, strict=True)))
+    method = F.when(near_tie, "coordinate_near_tie").when(ok, tier)
     return ranked.withColumns({"status": status, "method": method, "score": F.when(status == "matched", score).otherwise(0.0)}).drop("_n", "_d2", "_s2")

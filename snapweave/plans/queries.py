@@ -478,10 +478,58 @@ def fuzzy_link(spark, sf_dir):
     p = t(spark, sf_dir, "part")
     s = p.where("p_partkey % 2 = 1").select("p_partkey", "p_brand", F.lower("p_name").alias("s_name"), F.lower("p_type").alias("s_addr"))
     m = p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("m_id"), "p_brand", F.lower("p_name").alias("m_name"), F.lower("p_type").alias("m_addr"))
-    # a brand's pairs grow with the square of its parts; the type's first word keeps a block small
-    block = lambda df, c: df.withColumn("_block", F.substring_index(c, " ", 1))
-    pairs = block(s, F.col("s_name")).join(block(m, F.col("m_name")), ["p_brand", "_block"])
-    return linkage.fuzzy_tier(pairs, "p_partkey", "m_id", linkage.REFERENCE_FUZZY)
+    return linkage.fuzzy_tier(linkage.name_pairs(s, m, "p_partkey", "m_id", ["p_brand"]), "p_partkey", "m_id", linkage.REFERENCE_FUZZY)
+
+
+def _parts(spark, sf_dir, odd: bool):
+    """Parts as facilities: brand and container size stand for the municipality, some fields blank, some unknown."""
+    p = t(spark, sf_dir, "part").where(f"p_partkey % 2 = {int(odd)}")
+    k = F.col("p_partkey")
+    town = F.concat("p_brand", F.lit("市"))
+    town = F.when(k % 17 == 0, "").when(k % 19 == 0, "elsewhere市").otherwise(town) if odd else town
+    address = F.when(k % 7 == 0, "").otherwise(F.concat(F.concat("p_brand", F.lit("市")), "p_type"))
+    name = F.when(k % 101 == 0, "").otherwise(F.concat_ws(" ", "p_name", F.when(k % 3 == 0, F.concat(F.lit("no "), (k % 50).cast("string"))))) if odd else F.concat_ws(" ", "p_name", F.when(k % 3 != 0, F.concat(F.lit("no "), (k % 50).cast("string"))))
+    at = lambda c, low: (F.lit(low) + F.pmod(c, F.lit(997)) * 0.0004).cast("string")
+    return p.select(k.alias("row_id"), town.alias("municipality"), name.alias("shelter_name"), address.alias("address"), F.when(k % 4 > 0, at(k, 32.0)).alias("latitude"), F.when(k % 4 > 0, at(k * 31, 130.0)).alias("longitude"))
+
+
+def _decisions(df):
+    return df.select("row_id", "status", "method", F.round("score", 9).alias("score"), F.array_join("matches", ",").alias("matches"), F.array_join("candidates", ",").alias("candidates"))
+
+
+@query()
+def reference_match(spark, sf_dir):
+    """Odd parts to even ones through the cascade of the reference master."""
+    master = _parts(spark, sf_dir, False).select(F.col("row_id").alias("common_id"), "shelter_name", "address")
+    return _decisions(linkage.match_reference(_parts(spark, sf_dir, True), master))
+
+
+@query()
+def capacity_match(spark, sf_dir):
+    """Odd parts to even ones through the cascade of the capacity master, with places."""
+    m = _parts(spark, sf_dir, False)
+    master = m.select(F.col("row_id").cast("string").alias("portal_shelter_id"), "municipality", "shelter_name", "address", F.col("latitude").alias("portal_latitude"), F.col("longitude").alias("portal_longitude"))
+    source = _parts(spark, sf_dir, True).withColumn("portal_shelter_id", F.when(F.col("row_id") % 23 == 0, (F.col("row_id") + 1).cast("string")))
+    return _decisions(linkage.match_capacity(source, master))
+
+
+@query()
+def manual_match(spark, sf_dir):
+    """Odd parts to even ones by ids and identity."""
+    m = _parts(spark, sf_dir, False)
+    manual = m.select(F.concat(F.when(F.col("row_id") % 3 == 0, "web:").otherwise(""), F.col("row_id").cast("string")).alias("shelter_id"), "municipality", "shelter_name", "address")
+    near = (F.col("row_id") + 1).cast("string")
+    source = _parts(spark, sf_dir, True).withColumns({"shelter_id": F.when(F.col("row_id") % 5 == 0, near), "web_shelter_id": F.when(F.col("row_id") % 5 == 1, near).when(F.col("row_id") % 5 == 2, F.concat(F.lit("web:"), near))})
+    return _decisions(linkage.match_manual(source, manual))
+
+
+@query()
+def municipal_match(spark, sf_dir):
+    """Odd parts to even ones through the cascade of municipal records, by one container kind at a time."""
+    m = _parts(spark, sf_dir, False)
+    shelters = m.select(F.concat(F.when(F.col("row_id") % 3 == 0, "web:").otherwise("s"), F.col("row_id").cast("string")).alias("shelter_id"), "municipality", "shelter_name", "address", (F.col("row_id") % 4 == 0).alias("is_open"), F.when(F.col("row_id") % 6 == 0, "1,200").otherwise("0").alias("capacity"))
+    aliases = _parts(spark, sf_dir, True).where("row_id % 47 = 0").select("municipality", F.col("shelter_name").alias("source_shelter_name"), F.col("address").alias("source_address"), F.concat(F.lit("s"), (F.col("row_id") + 1).cast("string")).alias("shelter_id"), F.col("row_id").alias("_ord"))
+    return _decisions(linkage.match_municipal(_parts(spark, sf_dir, True), shelters, aliases))
 
 
 @query()

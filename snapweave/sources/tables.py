@@ -129,8 +129,17 @@ def capacity_contract(items: DataFrame, min_rows: int = 2000, min_parsed: int =
     return a.select(F.inline(F.array(*(F.struct(F.lit(k).alias("rule"), v.cast("long").alias("n_violations")) for k, v in rules.items()))))
 
 
-# Header words of the scraped listing, longest first within a key.
-HEADER_ALIASES = {"municipality": ("市町村名", "市町村", "自治体"), "shelter_name": ("避難所名", "施設名", "名称"), "congestion_status": ("混雑状況", "混雑状態", "混雑"), "opening_status": ("開設状況", "開設状態", "状況", "状態"), "evacuee_count": ("避難者数", "避難人数"), "address": ("住所", "所在地"), "route_search": ("ルート検索", "ルート")}
+# Header words of the scraped listing, and what a cell of an empty listing says.
+HEADER_ALIASES = {
+    "municipality": ("市町村", "自治体", "市区町村"),
+    "shelter_name": ("避難所名", "避難場所名", "施設名"),
+    "opening_status": ("開設状況", "開設状態", "状態"),
+    "congestion_status": ("混雑状況", "混雑状態"),
+    "evacuee_count": ("避難者数", "避難者人数", "収容者数", "現在避難者数"),
+    "address": ("住所", "所在地"),
+    "route_search": ("ルート検索", "経路検索"),
+}
+NO_DATA = "条件に一致するデータが存在しません"
 
 
 def canonical_header(name: str) -> str | None:
@@ -151,13 +160,19 @@ def canonical_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_rows(raw: DataFrame, headers: str = "headers", cells: str = "cells", order: str = "_ord") -> DataFrame:
-    """Scraped rows as maps: headers filled as column_N, rows cut or padded to them, blank, "no data" and repeated rows dropped."""
+    """Scraped rows as maps: headers filled as column_N, rows cut or padded to them, blank, no-data and repeated rows dropped.
+
+    Of two headers with one name the last one's cell counts.
+    """
+    from snapweave.functions.text import normalize_list
     from snapweave.operators.picks import first_wins
 
-    names = F.transform(headers, lambda h, i: F.when(F.trim(F.coalesce(h, F.lit(""))) == "", F.concat(F.lit("column_"), (i + 1).cast("string"))).otherwise(F.trim(h)))
-    width = F.size(headers)
-    fitted = F.transform(F.slice(F.concat(cells, F.array_repeat(F.lit(""), width)), 1, width), lambda v: F.trim(F.coalesce(v, F.lit(""))))
-    rows = raw.withColumns({"_names": names, "_cells": fitted}).where(F.exists("_cells", lambda v: v != ""))
-    rows = rows.where(~F.rlike(F.array_join("_cells", ""), F.lit("該当するデータ|データがありません|No data")))
-    rows = rows.withColumn("_key", F.sha2(F.to_json(F.struct("_names", "_cells")), 256))
-    return first_wins(rows, ["_key"], [], order).select(order, F.map_from_arrays("_names", "_cells").alias("row"))
+    raw = raw.withColumns({"_names": normalize_list(F.col(headers)), "_cells": normalize_list(F.col(cells))})
+    names = F.transform("_names", lambda h, i: F.when(h == "", F.concat(F.lit("column_"), (i + 1).cast("string"))).otherwise(h))
+    width = F.size("_names")
+    fitted = F.slice(F.concat("_cells", F.array_repeat(F.lit(""), width)), 1, width)
+    rows = raw.withColumns({"_names": names, "_cells": fitted}).where(F.exists("_cells", lambda v: v != "") & ~F.exists("_cells", lambda v: F.contains(v, F.lit(NO_DATA))))
+    pairs = F.transform(F.col("_names"), lambda h, i: F.struct(h.alias("key"), F.get(F.col("_cells"), i).alias("value"), (F.size("_names") - F.array_position(F.reverse("_names"), h) == i).alias("last")))
+    kept = F.transform(F.filter(pairs, lambda x: x["last"]), lambda x: F.struct(x["key"], x["value"]))
+    rows = rows.withColumn("_row", kept).withColumn("_key", F.sha2(F.to_json(F.array_sort("_row")), 256))
+    return first_wins(rows, ["_key"], [], order).select(order, F.map_from_entries("_row").alias("row"))

@@ -181,9 +181,9 @@ def test_capacity_cascade(spark):
     source = spark.createDataFrame([(1, "八代市", "A小学校", "本野町1", "", None, None), (2, "八代市", "B公民館", "", "", None, None), (3, "八代市", "B公民館", "まったく違う", "", None, None), (4, "八代市", "C会館", "x1", "", None, None), (5, "八代市", "D体育舘", "q", "", "32.50005", "130.60005"), (6, "八代市", "zz", "", "P2", None, None), (7, "宇城市", "zz", "", "nope", None, None)], SRC + ", portal_shelter_id string, latitude string, longitude string")
     decisions = linkage.match_capacity(source, master)
     got = {r["row_id"]: (r["status"], r["method"], r["matches"]) for r in decisions.collect()}
-    assert got[1] == ("matched", "exact_municipality_name_address", ["P1"]) and got[2] == ("matched", "exact_municipality_name", ["P2"])
+    assert got[1] == ("matched", "exact_municipality_name_address", ["P1"]) and got[2] == ("matched", "exact_name_municipality", ["P2"])
     assert got[3][0] == "unmatched" and got[4] == ("ambiguous", "duplicate_exact_key", [])
-    assert got[5] == ("matched", "coordinate_within_20m", ["P5"]) and got[6] == ("matched", "portal_shelter_id", ["P2"]) and got[7] == ("unmatched", "no_candidate", [])
+    assert got[5] == ("matched", "coordinate_with_name_20m", ["P5"]) and got[6] == ("matched", "portal_shelter_id", ["P2"]) and got[7] == ("unmatched", "no_candidate", [])
     enriched = linkage.enrich_capacity(source, decisions, master)
     assert rows(enriched.where("row_id in (1, 3)"), "row_id", "portal_capacity_persons", "capacity_match_status") == [(1, 10, "matched"), (3, None, "unmatched")]
 
@@ -192,7 +192,7 @@ def test_manual_coordinates(spark):
     manual = spark.createDataFrame([("ref:1", "八代市", "a", "x"), ("web:w2", "八代市", "b", "x"), ("web:w3", "八代市", "c", "x"), ("i4", "八代市", "d", "x"), ("i5", "八代市", "d", "x")], "shelter_id string, municipality string, shelter_name string, address string")
     source = spark.createDataFrame([(1, "八代市", "q", "", "ref:1", ""), (2, "八代市", "q", "", "s", "web:w2"), (3, "八代市", "q", "", "s", "w3"), (4, "八代市", "d", "x", "s", ""), (5, "八代市", "a", "x", None, None), (6, "八代市", "none", "", "s", "s")], SRC + ", shelter_id string, web_shelter_id string")
     got = {r["row_id"]: (r["status"], r["method"], r["matches"]) for r in linkage.match_manual(source, manual).collect()}
-    assert got == {1: ("matched", "shelter_id", ["ref:1"]), 2: ("matched", "web_shelter_id", ["web:w2"]), 3: ("matched", "prefixed_web_shelter_id", ["web:w3"]), 4: ("ambiguous", "duplicate_identity", []), 5: ("matched", "exact_identity", ["ref:1"]), 6: ("unmatched", "no_candidate", [])}
+    assert got == {1: ("matched", "manual_shelter_id", ["ref:1"]), 2: ("matched", "manual_web_shelter_id", ["web:w2"]), 3: ("matched", "manual_web_shelter_id", ["web:w3"]), 4: ("ambiguous", "manual_duplicate_identity", []), 5: ("matched", "manual_exact_identity", ["ref:1"]), 6: ("unmatched", "manual_no_match", [])}
 
 
 def test_municipal_cascade(spark):
@@ -202,7 +202,7 @@ def test_municipal_cascade(spark):
     got = {r["row_id"]: (r["status"], r["method"], r["matches"]) for r in linkage.match_municipal(source, master, aliases).collect()}
     assert got[1] == ("matched", "manual_alias", ["s1"]) and got[2] == ("unmatched", "alias_target_missing", []) and got[3] == ("unmatched", "municipality_not_found", [])
     assert got[4][:1] + got[4][2:] == ("matched", ["s1"]) and got[5] == ("matched", "exact_normalized_name_without_source_address", ["s2"])
-    assert got[6] == ("matched", "exact_name_open_without_source_address", ["s3"]) and got[7] == ("matched", "exact_name_web_master_quality_without_source_address", ["web:5"])
+    assert got[6] == ("matched", "exact_normalized_name_open_priority_without_source_address", ["s3"]) and got[7] == ("matched", "exact_name_web_master_quality_without_source_address", ["web:5"])
     assert got[8][0] == "unmatched"
 
 
