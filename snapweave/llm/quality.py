@@ -6,9 +6,10 @@ least twice in the same text; for 2 to 4 words it is the share of the single mos
 Duplicate lines are measured in the same way. Each text is judged alone: no shuffle, no state between
 rows, so a lost executor only repeats its own partitions.
 
-Defined results: a null or empty text has no words and fails the base rules; ties between equally
-frequent n-grams go to the one that covers more characters; repeated rows give repeated results;
-columns other than the two named ones are ignored by `measure` and passed on by `filter_documents`.
+Defined results: a null or empty text has no words and fails the base rules; a very long text is measured as a whole;
+ties between equally frequent n-grams go to the one that covers more characters; repeated rows give repeated results;
+an empty table gives no rows; columns other than the two named ones, whatever their names, are ignored by `measure` and
+passed on by `filter_documents`.
 """
 
 from __future__ import annotations
