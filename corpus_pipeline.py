@@ -2,6 +2,10 @@
 
 Each stage takes what its predecessor kept and is written before the next one reads it. All but the last
 return the columns of documents; the last returns one row for each document that stays.
+
+Defined results: a null, empty or short text fails the quality rules; of equal and near texts the row with the smallest
+doc_id stays, once, however often it is repeated; rows without a doc_id are no copies of anything; an empty table gives
+no rows; extra columns, whatever their names, are passed on up to the last stage.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snapweave.llm import bpe, decontaminate, near_duplicates, pii, quality
-from snapweave.llm.shared import stored
+from snapweave.llm.shared import discard, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,5 +51,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"pipeline-{k}")
+        discard(before)
     return docs
