@@ -17,7 +17,7 @@ Exact links between word-shingle sets with 100 * |A & B| >= 75 * |A | B|, and th
 5. Then rounds follow until nothing is left. The pairs of small groups that still lie in two components are
    verified. Each outlier of a family (a set in another component than the hub) is compared with the whole
    family in tiles of bounded size: so many outliers and members a task, the members streamed past the outliers' bitmaps. An outlier puts forward its best
-   partners; if there were more than a round allows, another round follows that allows more. The last
+   partners; for those that have more than a round allows another round follows that allows more. The last
    round leaves nothing out, so every pair that shares a prefix entry and lies in two components was compared, and no
    link is lost, though a family of near copies costs about its number of members.
 
@@ -370,7 +370,7 @@ class Outliers:
         self.allowed, self.percent = allowed, percent
         self.rows: list[tuple[int, int, int, np.ndarray]] = []
         self.best: list[list[tuple[int, int]]] = []  # (spare, set_id) of each
-        self.cut = False
+        self.cut: set[int] = set()
 
     def add(self, set_id: int, label: int, size: int, bitmap: bytes) -> None:
         self.rows.append((set_id, label, size, np.frombuffer(bitmap, np.uint8)))
@@ -403,7 +403,7 @@ class Outliers:
             if len(mine) > self.allowed:
                 mine.sort(reverse=True)
                 del mine[self.allowed :]
-                self.cut = True
+                self.cut.add(x)
 
     def pairs(self) -> Iterator[tuple[int, int]]:
         for (x, *_), mine in zip(self.rows, self.best, strict=True):
@@ -411,34 +411,39 @@ class Outliers:
                 yield min(x, y), max(x, y)
 
 
-CROSS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())])
+CROSS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("family", pa.int64())])  # a pair, or an outlier that was cut
 
 
 def _cross(families: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allowed: int, percent: int = PERCENT) -> DataFrame:
-    """(a, b) of the best partners of outliers that sizes and bitmaps let pass, and whether there were more.
+    """(a, b) of the best partners of outliers that sizes and bitmaps let pass; (a, family) with cut of those with more.
 
-    An outlier of a family is a set in another component than the hub.
+    An outlier of a family is a set in another component than the hub. Of `families` only the rows with `open` can be one:
+    the others have put forward all their partners before.
     """
-    known = families.select(F.col("hub").alias("family"), "set_id", "size")
+    known = families.select(F.col("hub").alias("family"), "set_id", "size", "open")
     known = known.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     known = known.join(labels.withColumnsRenamed({"id": "family", "label": "main"}), "family", "left").withColumn("main", F.coalesce("main", "family"))
     known = stored(known, "labelled")
-    families = known.join(known.where("label <> main").select("family").distinct(), "family")
-    tiles = families.groupBy("family").agg(F.ceil(F.count_if(F.col("label") != F.col("main")) / OUTLIERS).cast("int").alias("buckets"), F.ceil(F.count("*") / STREAMED).cast("int").alias("chunks"))
-    rows = families.join(tiles, "family").join(sets.select("set_id", "bitmap"), "set_id")
-    place, outlying = F.xxhash64("set_id"), F.col("label") != F.col("main")
+    outlying = F.col("label") != F.col("main")
+    tiles = known.groupBy("family").agg(F.ceil(F.count_if(outlying & F.col("open")) / OUTLIERS).cast("int").alias("buckets"), F.ceil(F.count("*") / STREAMED).cast("int").alias("chunks")).where("buckets > 0")
+    rows = known.join(tiles, "family").join(sets.select("set_id", "bitmap"), "set_id")
+    place = F.xxhash64("set_id")
     columns = ["family", "bucket", "chunk", "streamed", "set_id", "label", "size", "outlying", "bitmap"]
-    held = rows.where(outlying).withColumn("bucket", F.pmod(place, "buckets")).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).withColumn("streamed", F.lit(False)).withColumn("outlying", outlying)
+    held = rows.where(outlying & F.col("open")).withColumn("bucket", F.pmod(place, "buckets")).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).withColumn("streamed", F.lit(False)).withColumn("outlying", outlying)
     passing = rows.withColumn("chunk", F.pmod(F.shiftright(place, 20), "chunks")).withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets").cast("long") - 1))).withColumn("streamed", F.lit(True)).withColumn("outlying", outlying)
     dealt = held.select(columns).unionByName(passing.select(columns)).repartition(n, "family", "bucket", "chunk").sortWithinPartitions("family", "bucket", "chunk", "streamed", "size")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, one, out = None, Outliers(allowed, percent), set()
-        cut = False
+        now, one, out = (None,), Outliers(allowed, percent), set()
 
-        def pairs() -> pa.RecordBatch:
-            found = list(out)
-            return record(CROSS, {"a": [p[0] for p in found], "b": [p[1] for p in found], "cut": [cut] * len(found)})
+        def done() -> None:
+            out.update((*p, None) for p in one.pairs())
+            out.update((x, None, now[0]) for x in one.cut)
+
+        def found() -> pa.RecordBatch:
+            rows = list(out)
+            out.clear()
+            return record(CROSS, {f.name: [r[k] for r in rows] for k, f in enumerate(CROSS)})
 
         for b in batches:
             family, bucket, chunk, streamed, ids, labels, sizes, outlying = (b.column(c).to_numpy(zero_copy_only=False) for c in columns[:-1])
@@ -446,26 +451,23 @@ def _cross(families: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allo
             new = (family[1:] != family[:-1]) | (bucket[1:] != bucket[:-1]) | (chunk[1:] != chunk[:-1]) | (streamed[1:] != streamed[:-1])
             edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(family)]))
             for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                key = (family[s], bucket[s], chunk[s])
+                key = (int(family[s]), bucket[s], chunk[s])
                 if key != now:
-                    out.update(one.pairs())
-                    cut |= one.cut
+                    done()
                     now, one = key, Outliers(allowed, percent)
                     if len(out) > 1 << 16:
-                        yield pairs()
-                        out.clear()
+                        yield found()
                 if streamed[s]:
                     one.meet(ids[s:e], labels[s:e], sizes[s:e], outlying[s:e], bitmaps[s:e])
                 else:
                     for k in range(s, e):
                         one.add(int(ids[k]), int(labels[k]), int(sizes[k]), bitmaps[k])
-        out.update(one.pairs())
-        cut |= one.cut
-        yield pairs()
+        done()
+        yield found()
 
-    found = stored(dealt.mapInArrow(run, "a long, b long, cut boolean"), "cross-pairs")
+    out = stored(dealt.mapInArrow(run, "a long, b long, family long"), "cross-pairs")
     discard(known)
-    return found
+    return out
 
 
 ALLOWED = (8, 64, 1 << 62)  # partners that an outlier puts forward, by round
@@ -493,16 +495,20 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     tried = stored(_close(first, bitmaps, percent), "close-pairs")
     linked = _verified(plain, active, tried, "links", percent)
     labels = components(linked)
+    waiting = families.withColumn("open", F.lit(True))
     for k, allowed in enumerate(ALLOWED):
-        cross = _cross(families, bitmaps, labels, n, allowed, percent)
-        more = cross.select("a", "b")
+        cross = _cross(waiting, bitmaps, labels, n, allowed, percent)
+        more = cross.where("family is null").select("a", "b")
         if not k:
             of = lambda c: labels.withColumnsRenamed({"id": c, "label": f"label_{c}"})
             apart = small.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
             apart = stored(apart.join(first, ["a", "b"], "left_anti"), "apart")
             more = more.unionByName(_close(apart, bitmaps, percent))
         more = stored(more.distinct().join(tried, ["a", "b"], "left_anti"), "cross-new")
-        left = cross.agg(F.coalesce(F.bool_or("cut"), F.lit(False)).alias("cut")).head()["cut"]
+        again = cross.where("family is not null").select(F.col("family").alias("hub"), F.col("a").alias("set_id"), F.lit(True).alias("open")).distinct()
+        left = not again.isEmpty()
+        if left:  # the families of those that were cut, in which only they still look for partners
+            waiting = stored(families.join(again.select("hub").distinct(), "hub", "left_semi").join(again, ["hub", "set_id"], "left").withColumn("open", F.coalesce("open", F.lit(False))), "waiting")
         discard(cross)
         if not more.isEmpty():
             fresh = _verified(plain, active, more, "cross-links", percent)
