@@ -62,7 +62,7 @@ def test_headers_and_rows(spark):
     df = tables.canonical_columns(spark.createDataFrame([(1, 2, 3)], "`避難所名` int, `施設名` int, `zz` int"))
     assert df.columns == ["shelter_name"] and df.first()[0] == 1
     raw = spark.createDataFrame([(1, ["a", ""], ["x"]), (2, ["a", ""], ["x", "", "cut"]), (3, ["a"], [" "]), (4, ["a"], ["条件に一致するデータが存在しません。"]), (5, ["b", "a", "b"], ["1", " 2 ", "３"])], "_ord int, headers array<string>, cells array<string>")
-    assert [(r["_ord"], r["row"]) for r in tables.clean_rows(raw).collect()] == [(1, {"a": "x", "column_2": ""}), (5, {"a": "2", "b": "3"})]
+    assert [(r["_ord"], r["row"]) for r in tables.clean_rows(raw).orderBy("_ord").collect()] == [(1, {"a": "x", "column_2": ""}), (5, {"a": "2", "b": "3"})]
 
 
 PAGE = """<table><tr><th>other</th></tr></table><table><tr><th>避難所名</th><th>住所</th><th>避難者数</th></tr>
