@@ -47,11 +47,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/snapweave/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's own setting that removes the shuffle files of a query when the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to a table in the scratch folder and return what is read back; its path is in .scratch."""
+    """Write df to a table in the scratch folder and return what is read back; its path is in .scratch.
+
+    The shuffle files of the write go when it has ended, for whatever follows reads the table. While it runs, lost ones are made again.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch = path
     return back
