@@ -138,27 +138,58 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("row_key"), text.alias("text"))
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash, which are enough to find candidates."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """What `packed` left of the hashes, as numbers below 2**48."""
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def profile(docs: DataFrame, ranks: np.ndarray, percent: int = PERCENT) -> DataFrame:
+    """Size, set id and prefix of each row. Of equal sets that a task meets only the first has its prefix."""
     shift = 64 - (len(ranks).bit_length() - 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in blocks(batches, "text"):
             sizes, ids, prefixes = [], [], []
+            if len(seen) > REMEMBERED:
+                seen.clear()
             for values in sets_of(utf8(b, "text")):
                 n = len(values)
                 sizes.append(n)
                 if not n:
                     ids.append(None), prefixes.append(None)
                     continue
+                ids.append(set_id(values))
+                if ids[-1] in seen:
+                    prefixes.append(None)
+                    continue
+                seen.add(ids[-1])
                 order = (ranks[(values >> U64(shift)).astype(np.int64)].astype(U64) << U64(56)) | (values >> U64(8))
                 keep = np.argsort(order, kind="stable")[: n + (-percent * n // 100) + 1]
-                ids.append(set_id(values)), prefixes.append(values[keep].tobytes())
+                prefixes.append(packed(values[keep]))
             yield record(PROFILE, {"doc_id": b.column("doc_id"), "row_key": b.column("row_key"), "n_shingles": sizes, "set_id": ids, "prefix": prefixes})
 
     return docs.mapInArrow(run, PROFILE_DDL)
 
 
-_ENTRY = np.dtype([("hash", "<u4"), ("set", "<i8"), ("size", "<u4")])
+_ENTRY = np.dtype([("hash", "<u4"), ("set", "<i8"), ("band", "u1")])
+
+
+def band(size: int) -> int:
+    """The size in steps of an eighth of a power of two."""
+    return min(255, int(8 * np.log2(size)))
+
+
+def bands_apart(percent: int = PERCENT) -> int:
+    """How far the bands of linked sets can be from each other."""
+    return int(np.ceil(8 * np.log2(100 / percent))) + 1
 
 
 def _tiles(profiles: DataFrame, tiles: int) -> DataFrame:
@@ -182,9 +213,9 @@ def _tiles(profiles: DataFrame, tiles: int) -> DataFrame:
                 if raw is None or sid in seen:
                     continue
                 seen.add(sid)
-                hashes = np.frombuffer(raw, U64)
+                hashes = unpacked(raw)
                 entry = np.empty(len(hashes), _ENTRY)
-                entry["hash"], entry["set"], entry["size"] = (hashes >> U64(32)).astype(np.uint32), sid, min(size, 0xFFFFFFFF)
+                entry["hash"], entry["set"], entry["band"] = (hashes >> U64(16)).astype(np.uint32), sid, band(size)
                 held.append(entry)
                 tile_of.append((hashes % U64(tiles)).astype(np.int64))
                 count += len(hashes)
@@ -197,19 +228,16 @@ def _tiles(profiles: DataFrame, tiles: int) -> DataFrame:
     return profiles.select("set_id", "n_shingles", "prefix").mapInArrow(run, "tile long, entries binary")
 
 
+REMEMBERED = 1 << 18  # sets of which a task knows that their prefix is out
 SMALL = 4  # sets of a group that gives all its pairs
 CHUNK = 4096  # members in one row of a large group
-FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64()), ("chunk", pa.int32()), ("members", pa.int64()), ("sets", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("times", pa.int64())])
-FOUND_DDL = "a long, b long, sig long, chunk int, members long, sets array<long>, sizes array<long>, times long"
+FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sig", pa.int64()), ("chunk", pa.int32()), ("members", pa.int64()), ("sets", pa.list_(pa.int64())), ("times", pa.int64())])
+FOUND_DDL = "a long, b long, sig long, chunk int, members long, sets array<long>, times long"
 
 
-def fits(a, b, percent: int = PERCENT):
-    """Whether two sizes allow a link."""
-    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-
-
-def _groups(tiles: DataFrame, n: int) -> DataFrame:
+def _groups(tiles: DataFrame, n: int, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of small groups and large groups in chunks, with how many entries of the tile each stands for."""
+    apart = bands_apart(percent)
 
     def of_tile(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         entries = np.concatenate([np.frombuffer(p, _ENTRY) for p in parts])
@@ -219,28 +247,28 @@ def _groups(tiles: DataFrame, n: int) -> DataFrame:
         cut = np.flatnonzero(np.diff(entries["hash"])) + 1
         begins, ends = np.concatenate(([0], cut)), np.append(cut, len(entries))
         count = ends - begins
-        sets, sizes = entries["set"], entries["size"].astype(np.int64)
+        sets, bands = entries["set"], entries["band"].astype(np.int64)
         found = []
         for m in range(2, SMALL + 1):
             at = begins[count == m]
             for i in range(m):
                 for j in range(i + 1, m):
                     x, y = at + i, at + j
-                    ok = fits(sizes[x], sizes[y])
+                    ok = np.abs(bands[x] - bands[y]) <= apart
                     found.append(np.column_stack((sets[x[ok]], sets[y[ok]])))
         pairs, times = np.unique(np.concatenate(found), axis=0, return_counts=True)
         for s in range(0, len(pairs), 100_000):
             some = pairs[s : s + 100_000]
             none = [None] * len(some)
-            yield record(FOUND, {"a": some[:, 0], "b": some[:, 1], "sig": none, "chunk": none, "members": none, "sets": none, "sizes": none, "times": times[s : s + 100_000]})
+            yield record(FOUND, {"a": some[:, 0], "b": some[:, 1], "sig": none, "chunk": none, "members": none, "sets": none, "times": times[s : s + 100_000]})
         groups: dict[int, list[int]] = {}
         for s, e in zip(begins[count > SMALL].tolist(), ends[count > SMALL].tolist(), strict=True):
             groups.setdefault(set_id(np.ascontiguousarray(sets[s:e]).view(U64)), [s, e, 0])[2] += 1
-        rows = [(sig, (k - s) // CHUNK, e - s, sets[k : min(e, k + CHUNK)], sizes[k : min(e, k + CHUNK)], t) for sig, (s, e, t) in groups.items() for k in range(s, e, CHUNK)]
+        rows = [(sig, (k - s) // CHUNK, e - s, sets[k : min(e, k + CHUNK)], t) for sig, (s, e, t) in groups.items() for k in range(s, e, CHUNK)]
         for s in range(0, len(rows), 200):
             some = list(zip(*rows[s : s + 200], strict=True))
             none = [None] * len(some[0])
-            yield record(FOUND, {"a": none, "b": none, **dict(zip(("sig", "chunk", "members", "sets", "sizes", "times"), some, strict=True))})
+            yield record(FOUND, {"a": none, "b": none, **dict(zip(("sig", "chunk", "members", "sets", "times"), some, strict=True))})
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -371,10 +399,20 @@ class Outliers:
         self.rows: list[tuple[int, int, int, np.ndarray]] = []
         self.best: list[list[tuple[int, int]]] = []  # (spare, set_id) of each
         self.cut: set[int] = set()
+        self.own: list[tuple[int, int, int, bytes]] = []  # those that still have to go past
 
-    def add(self, set_id: int, label: int, size: int, bitmap: bytes) -> None:
+    def add(self, set_id: int, label: int, size: int, bitmap: bytes, passing: bool) -> None:
         self.rows.append((set_id, label, size, np.frombuffer(bitmap, np.uint8)))
         self.best.append([])
+        if passing:
+            self.own.append((set_id, label, size, bitmap))
+
+    def meet_own(self) -> None:
+        """When all are there, those that pass as well go past."""
+        if self.own:
+            ids, labels, sizes, bitmaps = zip(*self.own, strict=True)
+            self.own = []
+            self.meet(np.array(ids), np.array(labels), np.array(sizes), np.ones(len(ids), bool), list(bitmaps))
 
     def meet(self, ids: np.ndarray, labels: np.ndarray, sizes: np.ndarray, outlying: np.ndarray, bitmaps: list[bytes]) -> None:
         """Members go past, in order of size."""
@@ -425,18 +463,24 @@ def _cross(families: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allo
     known = known.join(labels.withColumnsRenamed({"id": "family", "label": "main"}), "family", "left").withColumn("main", F.coalesce("main", "family"))
     known = stored(known, "labelled")
     outlying = F.col("label") != F.col("main")
-    tiles = known.groupBy("family").agg(F.ceil(F.count_if(outlying & F.col("open")) / OUTLIERS).cast("int").alias("buckets"), F.ceil(F.count("*") / STREAMED).cast("int").alias("chunks")).where("buckets > 0")
-    rows = known.join(tiles, "family").join(sets.select("set_id", "bitmap"), "set_id")
+    seeking = outlying & F.col("open")
+    own = F.when(seeking, F.col("size"))
+    tiles = known.groupBy("family").agg(F.ceil(F.count_if(seeking) / OUTLIERS).alias("buckets"), F.ceil(F.count("*") / STREAMED).alias("chunks"), F.min(own).alias("least"), F.max(own).alias("most")).where("buckets > 0")
+    near = known.join(tiles, "family").where(fitting("size", F.greatest("least", F.least("size", "most")), percent))
     place = F.xxhash64("set_id")
-    columns = ["family", "bucket", "chunk", "streamed", "set_id", "label", "size", "outlying", "bitmap"]
-    held = rows.where(outlying & F.col("open")).withColumn("bucket", F.pmod(place, "buckets")).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1))).withColumn("streamed", F.lit(False)).withColumn("outlying", outlying)
-    passing = rows.withColumn("chunk", F.pmod(F.shiftright(place, 20), "chunks")).withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets").cast("long") - 1))).withColumn("streamed", F.lit(True)).withColumn("outlying", outlying)
-    dealt = held.select(columns).unionByName(passing.select(columns)).repartition(n, "family", "bucket", "chunk").sortWithinPartitions("family", "bucket", "chunk", "streamed", "size")
+    bucket, chunk = F.pmod(place, "buckets"), F.pmod(F.shiftright(place, 20), "chunks")
+    # where a set both seeks and passes, it is sent once
+    past = F.transform(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1), lambda k: F.struct(k.alias("bucket"), chunk.alias("chunk"), (~seeking | (k != bucket)).alias("streamed"), F.lit(True).alias("passing")))
+    kept = F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda k: seeking & (k != chunk)), lambda k: F.struct(bucket.alias("bucket"), k.alias("chunk"), F.lit(False).alias("streamed"), F.lit(False).alias("passing")))
+    columns = ["family", "bucket", "chunk", "streamed", "passing", "set_id", "label", "size", "outlying", "bitmap"]
+    rows = near.withColumn("outlying", outlying).withColumn("at", F.concat(past, kept)).join(sets.select("set_id", "bitmap"), "set_id").withColumn("at", F.explode("at"))
+    dealt = rows.select("*", "at.*").select(columns).repartition(n, "family", "bucket", "chunk").sortWithinPartitions("family", "bucket", "chunk", "streamed", "size")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, one, out = (None,), Outliers(allowed, percent), set()
 
         def done() -> None:
+            one.meet_own()
             out.update((*p, None) for p in one.pairs())
             out.update((x, None, now[0]) for x in one.cut)
 
@@ -446,7 +490,7 @@ def _cross(families: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allo
             return record(CROSS, {f.name: [r[k] for r in rows] for k, f in enumerate(CROSS)})
 
         for b in batches:
-            family, bucket, chunk, streamed, ids, labels, sizes, outlying = (b.column(c).to_numpy(zero_copy_only=False) for c in columns[:-1])
+            family, bucket, chunk, streamed, passing, ids, labels, sizes, outlying = (b.column(c).to_numpy(zero_copy_only=False) for c in columns[:-1])
             bitmaps = b.column("bitmap").to_pylist()
             new = (family[1:] != family[:-1]) | (bucket[1:] != bucket[:-1]) | (chunk[1:] != chunk[:-1]) | (streamed[1:] != streamed[:-1])
             edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(family)]))
@@ -458,10 +502,11 @@ def _cross(families: DataFrame, sets: DataFrame, labels: DataFrame, n: int, allo
                     if len(out) > 1 << 16:
                         yield found()
                 if streamed[s]:
+                    one.meet_own()
                     one.meet(ids[s:e], labels[s:e], sizes[s:e], outlying[s:e], bitmaps[s:e])
                 else:
                     for k in range(s, e):
-                        one.add(int(ids[k]), int(labels[k]), int(sizes[k]), bitmaps[k])
+                        one.add(int(ids[k]), int(labels[k]), int(sizes[k]), bitmaps[k], passing[k])
         done()
         yield found()
 
@@ -480,11 +525,12 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     profiles = stored(profile(plain, sketch(plain), percent), "profiles")
     sets = stored(profiles.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("size")), "sets")
     rows = stored(profiles.select("doc_id", "n_shingles", "set_id"), "sizes")
-    found = stored(_groups(_tiles(profiles, 2 * n), n), "groups")
+    found = stored(_groups(_tiles(profiles, 2 * n), n, percent), "groups")
     discard(profiles)
     small = stored(found.where("a is not null").groupBy("a", "b").agg(F.sum("times").alias("times")), "pairs")
-    groups = found.where("sig is not null").groupBy("sig", "chunk").agg(F.first("members").alias("members"), F.first("sets").alias("sets"), F.first("sizes").alias("sizes"), F.sum("times").alias("times"))
-    members = stored(groups.select("sig", "members", "times", F.explode(F.arrays_zip("sets", "sizes")).alias("m")).select("sig", "members", "times", F.col("m.sets").alias("set_id"), F.col("m.sizes").alias("size")), "group-members")
+    groups = found.where("sig is not null").groupBy("sig", "chunk").agg(F.first("members").alias("members"), F.first("sets").alias("sets"), F.sum("times").alias("times"))
+    members = groups.select("sig", "members", "times", F.explode("sets").alias("set_id"))
+    members = stored(members.join(sets.select("set_id", "size"), "set_id"), "group-members")
     discard(found)
     families = stored(_families(members), "families")
     discard(members)
