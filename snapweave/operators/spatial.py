@@ -39,6 +39,11 @@ def radius_join(points: DataFrame, targets: DataFrame, radius_m: float, p_lat: s
     return left.join(right, ["_x", "_y", "_s", *(on or [])]).drop("_x", "_y", "_s").withColumn("distance_m", distance).where(F.col("distance_m") <= radius_m)
 
 
+def first_targets(targets: DataFrame, at: list[str], tie: str, n: int = 2) -> DataFrame:
+    """The n smallest of targets that agree in the columns `at`: no other can be among the n nearest of any point."""
+    return targets.withColumn("_n", F.row_number().over(Window.partitionBy(*at).orderBy(tie))).where(F.col("_n") <= n).drop("_n")
+
+
 @dataclass(frozen=True)
 class Weights:
     name: float = 0.58
@@ -60,6 +65,14 @@ class Acceptance:
     bonus_near: float = 0.08
     bonus_far: float = 0.03
 
+    def names(self) -> list[str]:
+        """A method for each tier: the fixed values in order of the fixed tiers, of other tiers without own names their metres."""
+        if len(self.methods) == len(self.tiers):
+            return list(self.methods)
+        if self.methods != Acceptance.methods:
+            raise ValueError(f"{len(self.tiers)} tiers, but {len(self.methods)} methods")
+        return [f"coordinate_{metres:g}m" for metres, *_ in self.tiers]
+
 
 def combined_score(name: Column, address: Column, distance: Column, w: Weights = Weights()) -> Column:
     return w.name * name + w.address * address + w.proximity * F.greatest(F.lit(0.0), 1 - distance / w.radius_m)
@@ -73,15 +86,16 @@ def accept_nearest(candidates: DataFrame, key: str, name: str = "name_score", ad
     w = Window.partitionBy(key).orderBy(F.col("distance_m"), F.col(name).desc(), F.col(address).desc(), F.col(tie))
     ranked = candidates.withColumns({"_n": F.row_number().over(w), "_d2": F.lead("distance_m").over(w), "_s2": F.lead(name).over(w)}).where("_n = 1")
     near_tie = F.col("_d2").isNotNull() & (F.col("_d2") - F.col("distance_m") < rules.tie_m) & (F.col("_s2") >= F.col(name) - rules.tie_name)
-    ok = F.lit(False)
-    for metres, least_name, least_address, enough in rules.tiers:
+    tiers = []
+    for (metres, least_name, least_address, enough), named in zip(rules.tiers, rules.names(), strict=True):
         fits = F.col(name) >= least_name
         if least_address:
             fits = fits & ((F.col(address) >= least_address) | (F.col(name) >= enough))
-        ok = ok | ((F.col("distance_m") <= metres) & fits)
+        tiers.append(F.when((F.col("distance_m") <= metres) & fits, F.lit(named)))
+    tier = F.coalesce(*tiers, F.lit(None).cast("string"))
+    ok = tier.isNotNull()
     bonus = F.when(F.col("distance_m") <= rules.tiers[0][0], rules.bonus_near).otherwise(rules.bonus_far)
     score = F.least(F.lit(rules.high), F.greatest(F.lit(rules.low), combined_score(F.col(name), F.col(address), F.col("distance_m"), weights) + bonus))
     status = F.when(near_tie, "ambiguous").when(ok, "matched")
-    tier = F.coalesce(*(F.when(F.col("distance_m") <= metres, F.lit(name_of)) for (metres, *_), name_of in zip(rules.tiers, rules.methods, strict=True)))
     method = F.when(near_tie, "coordinate_near_tie").when(ok, tier)
     return ranked.withColumns({"status": status, "method": method, "score": F.when(status == "matched", score).otherwise(0.0)}).drop("_n", "_d2", "_s2")

@@ -172,6 +172,27 @@ def test_nearest_acceptance(spark):
     assert scores[1] == 0.80 and scores[9] == pytest.approx(min(0.999, 0.58 * 0.9 + 0.17 * 0.9 + 0.25 * (1 - 10 / 250) + 0.08))
 
 
+def test_nearest_acceptance_with_other_tiers(spark):
+    df = spark.createDataFrame([(1, "a", 90.0, 0.5, 0.0), (2, "a", 90.0, 0.9, 0.0), (3, "a", 300.0, 0.9, 0.0), (4, "a", 301.0, 1.0, 1.0)], "k int, target_id string, distance_m double, name_score double, address_score double")
+    tiers = ((100.0, 0.8, 0.0, 0.0), (300.0, 0.4, 0.0, 0.0))
+    got = lambda **named: rows(spatial.accept_nearest(df, "k", rules=spatial.Acceptance(tiers=tiers, **named)), "k", "status", "method")
+    assert got() == [(1, "matched", "coordinate_300m"), (2, "matched", "coordinate_100m"), (3, "matched", "coordinate_300m"), (4, None, None)]
+    assert got(methods=("near", "far"))[:2] == [(1, "matched", "far"), (2, "matched", "near")]
+    with pytest.raises(ValueError, match="2 tiers, but 1 methods"):
+        got(methods=("near",))
+
+
+def test_first_targets_hold_the_nearest(spark):
+    r = random.Random(2)
+    a = [(k, 32 + r.randint(0, 9) * 0.001, 130.0) for k in range(8)]
+    b = [(j, 32 + r.randint(0, 9) * 0.001, 130.0) for j in range(90)]
+    left, right = spark.createDataFrame(a, "i int, la double, lo double"), spark.createDataFrame(b, "j int, lb double, ob double")
+    few = spatial.first_targets(right, ["lb", "ob"], "j")
+    assert few.groupBy("lb", "ob").count().agg(F.max("count")).first()[0] == 2
+    nearest = lambda targets: rows(spatial.accept_nearest(spatial.radius_join(left, targets, 600, "la", "lo", "lb", "ob", 34.0).withColumns({"name_score": F.lit(1.0), "address_score": F.lit(1.0)}), "i", tie="j"), "i", "j", "status")
+    assert nearest(few) == nearest(right) and nearest(few)
+
+
 CAP = "portal_shelter_id string, municipality string, shelter_name string, address string, portal_latitude string, portal_longitude string, portal_capacity_persons int, portal_capacity_raw string, capacity_source string, capacity_acquired_at_jst string"
 
 
