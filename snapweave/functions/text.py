@@ -10,6 +10,7 @@ import difflib
 import html
 import re
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -174,25 +175,32 @@ def ratio(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b).ratio()
 
 
-@F.pandas_udf(DoubleType())
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """`ratio` of two columns; null if either is. Equal pairs in a batch are compared once."""
-    known: dict[tuple[str, str], float] = {}
+@lru_cache(maxsize=1024)
+def _against(b: str) -> difflib.SequenceMatcher:
+    """A matcher that has read b, the costly half of a comparison."""
+    return difflib.SequenceMatcher(None, "", b)
+
 
-    def of(x, y):
-        if x is None or y is None:
-            return None
-        if (x, y) not in known:
-            known[x, y] = 1.0 if x == y else ratio(x, y)
-        return known[x, y]
+@lru_cache(maxsize=1 << 18)
+def _known_ratio(a: str, b: str) -> float:
+    """`ratio`; a worker process remembers what its batches compared."""
+    if a == b:
+        return 1.0
+    matcher = _against(b)
+    matcher.set_seq1(a)
+    return matcher.ratio()
 
-    return pd.Series([of(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+@F.pandas_udf(DoubleType())
+def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """`ratio` of two columns; null if either is. Equal pairs in a process are compared once, as long as it remembers them."""
+    return pd.Series([None if x is None or y is None else _known_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())
 def best_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Largest ratio between two arrays of variants; 0 if either is empty."""
-    return pd.Series([max((ratio(x, y) for x in xs for y in ys), default=0.0) if xs is not None and ys is not None else 0.0 for xs, ys in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([max((_known_ratio(x, y) for x in xs for y in ys), default=0.0) if xs is not None and ys is not None else 0.0 for xs, ys in zip(a, b, strict=True)], dtype="float64")
 
 
 def unique_join(values: Column, separator: str = " | ") -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from snapweave.functions.scalars import parse_coordinate
 from snapweave.functions.text import address_key, address_key_municipal, best_similarity, clean_text, infer_municipality, municipality_key, name_key_capacity, name_key_municipal, name_key_reference, name_variants, similarity
 from snapweave.operators.lineage import cut_lineage
-from snapweave.operators.spatial import Acceptance, Weights, accept_nearest, radius_join
+from snapweave.operators.spatial import Acceptance, Weights, accept_nearest, first_targets, radius_join
 
 DECISION = ["status", "method", "score", "matches", "candidates"]
 _NONE = "array<string>"
@@ -46,6 +46,19 @@ def cascade(source: DataFrame, key: str, tiers: Sequence[Tier], otherwise: tuple
     return out
 
 
+def each(rest: DataFrame, key: str, columns: Sequence[str], decide: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """key and decision of the rows whose distinct `columns` are decided by decide(texts, name of their key)."""
+    text, name = F.struct(*columns), "_text" if key != "_text" else "_part"
+    texts = rest.select(*columns).distinct().withColumn(name, text)
+    return rest.select(key, text.alias(name)).join(decide(texts, name).select(name, *DECISION), name).drop(name)
+
+
+def dealt(pairs: DataFrame, column: str) -> DataFrame:
+    """Distinct pairs over all cores: few bytes, but costly to compare, so Spark's own partitions would be too few."""
+    spark = pairs.sparkSession
+    return pairs.distinct().repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), column).sortWithinPartitions(column)
+
+
 def unique_or_ambiguous(source: DataFrame, master: DataFrame, keys: Sequence[str], master_id: str) -> DataFrame:
     """Exact match on keys: the id if one master row has them, `ambiguous` if several, else unmatched."""
     groups = master.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(master_id).alias("_id"))
@@ -81,10 +94,10 @@ def fuzzy_tier(pairs: DataFrame, key: str, master_id: str, rules: Fuzzy) -> Data
     scored = named.withColumn("address_score", F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), similarity(F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), F.col("s_addr")), "m_addr")))
     total = F.when(F.col("s_addr") == "", F.col("name_score")).otherwise(rules.name_weight * F.col("name_score") + (1 - rules.name_weight) * F.coalesce("address_score", F.lit(0.0)))
     w = Window.partitionBy(key).orderBy(F.col("total").desc(), F.col(master_id))
-    ranked = scored.withColumn("total", total).withColumns({"_n": F.row_number().over(w), "_second": F.lead("total", 1, 0.0).over(w)}).where(F.col("_n") <= rules.keep)
-    suggestions = F.transform(F.array_sort(F.collect_list(F.struct("_n", F.col(master_id).cast("string").alias("id")))), lambda x: x["id"])
+    ranked = scored.withColumn("total", total).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max(rules.keep, 2))
+    suggestions = F.transform(F.array_sort(F.collect_list(F.when(F.col("_n") <= rules.keep, F.struct("_n", F.col(master_id).cast("string").alias("id"))))), lambda x: x["id"])
     best = lambda c: F.max(F.when(F.col("_n") == 1, F.col(c)))
-    grouped = ranked.groupBy(key).agg(suggestions.alias("candidates"), *(best(c).alias(c) for c in ("total", "name_score", "address_score", "_second", "s_addr")))
+    grouped = ranked.groupBy(key).agg(suggestions.alias("candidates"), F.coalesce(F.max(F.when(F.col("_n") == 2, F.col("total"))), F.lit(0.0)).alias("_second"), *(best(c).alias(c) for c in ("total", "name_score", "address_score", "s_addr")))
     address_ok = (F.col("s_addr") == "") | (F.col("address_score") >= rules.accept_address) | (F.col("name_score") >= rules.name_alone)
     ok = (F.col("name_score") >= rules.accept_name) & (F.col("total") >= rules.accept_total) & (F.col("total") - F.col("_second") >= rules.margin) & address_ok
     return grouped.select(key, *decision(F.when(ok, "matched").otherwise("unmatched"), F.when(ok, "high_confidence_fuzzy").otherwise("fuzzy_below_threshold"), F.col("total"), F.when(ok, F.slice("candidates", 1, 1)).otherwise(F.array().cast(_NONE)), F.col("candidates")))
@@ -114,10 +127,26 @@ def name_pairs(source: DataFrame, master: DataFrame, key: str, master_id: str, o
     lengths = (F.length("m_name") >= F.length("s_name") * other - 1e-9) & (F.length("s_name") >= F.length("m_name") * other - 1e-9)
     keys = source.select(*on, "s_name").distinct(), master.select(*on, "m_name").distinct()
     near = begun(keys[0], "s_name").join(begun(keys[1], "m_name"), [*on, "_token"]).where(lengths).select("s_name", "m_name", *on).distinct()
-    near = near.select(*on, "s_name", "m_name", similarity("s_name", "m_name").alias("name_score")).where(F.col("name_score") >= least)
+    near = cut_lineage(near)
+    scores = dealt(near.select("s_name", "m_name"), "m_name").withColumn("name_score", similarity("s_name", "m_name")).where(F.col("name_score") >= least)
+    near = near.join(scores, ["s_name", "m_name"])
     return source.join(near, [*on, "s_name"]).join(master, [*on, "m_name"])
 
 
+def fuzzy_texts(texts: DataFrame, master: DataFrame, key: str, rules: Fuzzy, block: Sequence[str] = (), on: Sequence[str] = (), inside: Column | None = None) -> DataFrame:
+    """`fuzzy_tier` of distinct texts (key, *block, s_name, s_addr) against the master rows (*on, m_name, m_addr, m_id) of their block.
+
+    A block is that of the columns `on`, or what `inside` says. With one address on either side the total grows with the name's score
+    alone, so of each name's candidates at one address only the first `keep` can be among the first `keep` of all.
+    """
+    few = first_targets(master, [c for c in master.columns if c != "m_id"], "m_id", n=max(rules.keep, 2))
+    near = name_pairs(texts.select(*block, "s_name").distinct(), few, key, "m_id", on)
+    near = near if inside is None else near.where(inside)
+    best = first_targets(near, [*block, "s_name", "m_addr"], F.col("name_score").desc(), "m_id", n=max(rules.keep, 2))
+    pairs = texts.join(best.select(*block, "s_name", "m_name", "m_addr", "m_id", "name_score"), [*block, "s_name"])
+    return fuzzy_tier(pairs, key, "m_id", rules)
+
+
 def _keyed(df: DataFrame, municipality: str, name: str, address: str, prefix: str, name_key=name_key_reference, addr_key=address_key) -> DataFrame:
     return df.withColumns({f"{prefix}muni": municipality_key(F.col(municipality)), f"{prefix}name": name_key(F.col(name)), f"{prefix}addr": addr_key(F.col(address))})
 
@@ -145,7 +174,8 @@ def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", m
     if municipality not in master.columns:
         master = master.withColumn(municipality, F.lit(""))
     s = _keyed(source, municipality, name, address, "s_").select(key, "s_muni", "s_name", "s_addr")
-    m = _keyed(master, municipality, name, address, "m_").select(F.col(master_id).cast("string").alias("m_id"), "m_muni", "m_name", "m_addr")
+    m = cut_lineage(_keyed(master, municipality, name, address, "m_").select(F.col(master_id).cast("string").alias("m_id"), "m_muni", "m_name", "m_addr"))
+    row_key, key = key, "_text"  # the tiers decide distinct texts
     ids = F.array_sort(F.collect_list("m_id"))
     by_both = m.groupBy(F.col("m_name").alias("s_name"), F.col("m_addr").alias("s_addr")).agg(ids.alias("ids"))
     same_name = m.withColumnRenamed("m_name", "s_name")
@@ -158,7 +188,7 @@ def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", m
         hit = rest.where("s_addr <> ''").join(by_both, ["s_name", "s_addr"])
         return hit.select(key, *decision(F.when(F.size("ids") == 1, "matched").otherwise("matched_multiple"), "exact_name_address", 1.0, F.col("ids")))
 
-    def same(rest: DataFrame) -> DataFrame:
+    def namesakes(rest: DataFrame, key: str) -> DataFrame:
         rows = rest.join(same_name, "s_name").withColumn("_in", in_block)
         g = rows.groupBy(key).agg(F.count_if("_in").alias("n_in"), F.count_distinct(F.when(F.col("_in"), F.col("m_addr"))).alias("addr_in"), F.array_sort(F.collect_list(F.when(F.col("_in"), F.col("m_id")))).alias("ids_in"), F.count("*").alias("n"), F.count_distinct("m_addr").alias("addrs"), ids.alias("ids"))
         one_here, group_here = F.col("n_in") == 1, (F.col("n_in") > 1) & (F.col("addr_in") == 1)
@@ -169,14 +199,17 @@ def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", m
         matches = F.when(one_here | group_here, F.col("ids_in")).when(~conflict & group, F.col("ids")).otherwise(F.array().cast(_NONE))
         return g.select(key, *decision(status, method, score, matches, F.when(status == "unmatched", F.col("ids")).when(status == "ambiguous", F.when(F.size("ids_in") > 0, F.col("ids_in")).otherwise(F.col("ids"))).otherwise(F.array().cast(_NONE))))
 
+    def same(rest: DataFrame) -> DataFrame:
+        return each(rest, key, ["s_muni", "s_name"], namesakes)
+
     def fuzzy(rest: DataFrame) -> DataFrame:
-        near = name_pairs(rest, m, key, "m_id").withColumn("_in", in_block)
-        # a municipality that no master address holds takes the whole master, any other its own rows
-        known = cut_lineage(municipality_block(rest, m).select("s_muni").distinct().withColumn("_known", F.lit(True)))
-        pairs = near.join(known, "s_muni", "left").where(F.col("_in") | F.col("_known").isNull())
-        return fuzzy_tier(pairs.select(key, "m_id", "name_score", "s_name", "s_addr", "m_name", "m_addr"), key, "m_id", REFERENCE_FUZZY)
+        # a municipality that no master address holds takes the whole master, as a blank one does; any other its own rows
+        known = municipality_block(rest, m).select("s_muni").distinct().withColumn("_block", F.col("s_muni"))
+        rest = cut_lineage(rest.join(known, "s_muni", "left").withColumn("_block", F.coalesce("_block", F.lit(""))))
+        here = (F.col("_block") == "") | F.contains("m_addr", "_block") | F.contains("m_muni", "_block")
+        return each(rest, key, ["_block", "s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m, text, REFERENCE_FUZZY, ["_block"], inside=here))
 
-    return cascade(s, key, [missing, exact, same, fuzzy])
+    return each(cut_lineage(s), row_key, ["s_muni", "s_name", "s_addr"], lambda texts, _: cascade(texts, key, [missing, exact, same, fuzzy]))
 
 
 def enrich_reference(decisions: DataFrame, master: DataFrame, key: str = "row_id", master_id: str = "common_id", attributes: Sequence[str] = ()) -> DataFrame:
@@ -203,20 +236,29 @@ def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", ma
     s_id = F.trim(F.coalesce(F.col(master_id).cast("string"), F.lit(""))) if master_id in source.columns else F.lit("")
     s = s.select(key, "s_muni", "s_name", "s_addr", s_id.alias("s_id"), parse_coordinate(_first_filled(s, lat), -90, 90).alias("s_lat"), parse_coordinate(_first_filled(s, lon), -180, 180).alias("s_lon"))
     m = _keyed(master.where(F.trim(F.coalesce(F.col(name), F.lit(""))) != ""), municipality, name, address, "m_", name_key_capacity)
-    m = m.select(F.coalesce(F.col(master_id).cast("string"), F.lit("")).alias("m_id"), "m_muni", "m_name", "m_addr", parse_coordinate(F.col(m_lat).cast("string"), -90, 90).alias("m_lat"), parse_coordinate(F.col(m_lon).cast("string"), -180, 180).alias("m_lon"))
+    m = cut_lineage(m.select(F.coalesce(F.col(master_id).cast("string"), F.lit("")).alias("m_id"), "m_muni", "m_name", "m_addr", parse_coordinate(F.col(m_lat).cast("string"), -90, 90).alias("m_lat"), parse_coordinate(F.col(m_lon).cast("string"), -180, 180).alias("m_lon")))
     # the pool of each municipality: its own rows, or all where the master has none
     known = m.select(F.col("m_muni").alias("s_muni"), F.lit(True).alias("_known")).where("s_muni <> ''").distinct()
     s = s.join(known, "s_muni", "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
     here = (F.col("s_muni") == "") | (F.col("s_muni") == F.col("m_muni"))
-    in_pool = ~F.col("_known") | (F.col("s_muni") == F.col("m_muni"))
 
-    def by_place(rest: DataFrame, allowed: Column) -> DataFrame:
-        pairs = radius_join(rest, m, Weights().radius_m, "s_lat", "s_lon", "m_lat", "m_lon").where(allowed)
+    placed = first_targets(m.where("m_lat is not null and m_lon is not null"), ["m_muni", "m_name", "m_addr", "m_lat", "m_lon"], "m_id")
+
+    def nearest(pairs: DataFrame, key: str) -> DataFrame:
+        pairs = cut_lineage(pairs.select(key, "s_name", "s_addr", "m_id", "m_name", "m_addr", "distance_m"))
+        names = dealt(pairs.select("s_name", "m_name"), "m_name").withColumn("name_score", similarity("s_name", "m_name"))
         both = (F.col("s_addr") != "") & (F.col("m_addr") != "")
-        scored = pairs.withColumns({"name_score": similarity("s_name", "m_name"), "address_score": F.coalesce(F.when(both, similarity(F.when(both, F.col("s_addr")), "m_addr")), F.lit(0.0))})
+        addresses = dealt(pairs.where(both).select("s_addr", "m_addr"), "m_addr").withColumn("address_score", similarity("s_addr", "m_addr"))
+        scored = pairs.join(names, ["s_name", "m_name"]).join(addresses, ["s_addr", "m_addr"], "left").withColumn("address_score", F.coalesce("address_score", F.lit(0.0)))
         hit = accept_nearest(scored, key, tie="m_id").where("status is not null")
         return hit.select(key, *decision(F.col("status"), F.col("method"), F.col("score"), F.when(F.col("status") == "matched", F.array("m_id")).otherwise(F.array().cast(_NONE)), F.array("m_id")))
 
+    def by_place(rest: DataFrame, equal: Sequence[str], allowed: Column = F.lit(True)) -> DataFrame:
+        """Decisions by the nearest of the master rows that agree in the columns m_ for s_ of `equal`."""
+        targets = placed.withColumns({c: F.col("m_" + c[2:]) for c in equal})
+        near = lambda texts: radius_join(texts, targets, Weights().radius_m, "s_lat", "s_lon", "m_lat", "m_lon", on=list(equal)).where(allowed)
+        return each(rest.where("s_lat is not null and s_lon is not null"), key, ["s_muni", "s_name", "s_addr", "s_lat", "s_lon", "_known"], lambda texts, text: nearest(near(texts), text))
+
     def unavailable(rest: DataFrame) -> DataFrame:
         return rest.crossJoin(F.broadcast(m.agg(F.count("*").alias("_rows")))).where("_rows = 0").select(key, *decision("master_unavailable", "capacity_master_not_found", 0.0))
 
@@ -229,19 +271,20 @@ def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", ma
         hit = rest.join(triple, ["s_muni", "s_name", "s_addr"])
         return hit.where(F.size("ids") == 1).select(key, *decision("matched", "exact_municipality_name_address", 1.0, F.col("ids")))
 
-    def several(rest: DataFrame, counted: DataFrame, allowed: Column, method: str) -> DataFrame:
+    def several(rest: DataFrame, counted: DataFrame, equal: Sequence[str], allowed: Column, method: str) -> DataFrame:
         """Rows with several candidates `ids`: the nearest of them, or none."""
         hit = cut_lineage(counted.where(F.size("ids") > 1))
-        placed = by_place(hit.select(rest.columns), allowed)
-        return placed.unionByName(hit.join(placed.select(key), key, "left_anti").select(key, *decision("ambiguous", method, 0.0, None, F.col("ids"))))
+        found = cut_lineage(by_place(hit.select(rest.columns), equal, allowed))
+        return found.unionByName(hit.join(found.select(key), key, "left_anti").select(key, *decision("ambiguous", method, 0.0, None, F.col("ids"))))
 
     def same_key(rest: DataFrame) -> DataFrame:
-        equal = (F.col("s_muni") == F.col("m_muni")) & (F.col("s_name") == F.col("m_name")) & (F.col("s_addr") == F.col("m_addr"))
-        return several(rest, rest.join(triple, ["s_muni", "s_name", "s_addr"]), equal, "duplicate_exact_key")
+        return several(rest, rest.join(triple, ["s_muni", "s_name", "s_addr"]), ["s_muni", "s_name", "s_addr"], F.lit(True), "duplicate_exact_key")
+
+    named = lambda *columns: m.withColumns({c: F.col("m_" + c[2:]) for c in columns}).groupBy(*columns).agg(F.array_sort(F.collect_list("m_id")).alias("ids"), F.min("m_addr").alias("m_addr"))
 
     def namesakes(rest: DataFrame) -> DataFrame:
-        rows = rest.join(m.withColumnRenamed("m_name", "s_name"), "s_name").where(here)
-        return rest.join(rows.groupBy(key).agg(F.array_sort(F.collect_list("m_id")).alias("ids"), F.min("m_addr").alias("m_addr")), key)
+        here, anywhere = rest.where("s_muni <> ''").join(named("s_muni", "s_name"), ["s_muni", "s_name"]), rest.where("s_muni = ''").join(named("s_name"), "s_name")
+        return here.unionByName(anywhere)
 
     def one_name(rest: DataFrame) -> DataFrame:
         hit = namesakes(rest).where(F.size("ids") == 1).withColumn("_blank", (F.col("s_addr") == "") | (F.col("m_addr") == ""))
@@ -249,16 +292,17 @@ def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", ma
         return hit.select(key, *decision("matched", F.when(F.col("_blank"), "exact_name_municipality").otherwise("exact_name_municipality_address_similar"), F.col("_score"), F.col("ids")))
 
     def same_name(rest: DataFrame) -> DataFrame:
-        return several(rest, namesakes(rest), here & (F.col("s_name") == F.col("m_name")), "exact_name_multiple_capacity_rows")
+        return several(rest, namesakes(rest), ["s_name"], here, "exact_name_multiple_capacity_rows")
+
+    def in_pool(rest: DataFrame) -> DataFrame:
+        return by_place(rest.where("_known"), ["s_muni"]).unionByName(by_place(rest.where("not _known"), []))
 
     def fuzzy(rest: DataFrame) -> DataFrame:
-        inside = name_pairs(rest.where("_known"), m.withColumnRenamed("m_muni", "s_muni"), key, "m_id", ["s_muni"])
-        outside = name_pairs(rest.where("not _known"), m.drop("m_muni"), key, "m_id")
-        columns = [key, "m_id", "name_score", "s_name", "s_addr", "m_name", "m_addr"]
-        pairs = inside.select(columns).unionByName(outside.select(columns))
-        return fuzzy_tier(pairs, key, "m_id", CAPACITY_FUZZY)
+        inside = each(rest.where("_known"), key, ["s_muni", "s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m.withColumnRenamed("m_muni", "s_muni").select("s_muni", "m_name", "m_addr", "m_id"), text, CAPACITY_FUZZY, ["s_muni"], ["s_muni"]))
+        outside = each(rest.where("not _known"), key, ["s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m.select("m_name", "m_addr", "m_id"), text, CAPACITY_FUZZY))
+        return inside.unionByName(outside)
 
-    tiers = [unavailable, by_id, exact, same_key, one_name, same_name, lambda rest: by_place(rest, in_pool), fuzzy]
+    tiers = [unavailable, by_id, exact, same_key, one_name, same_name, in_pool, fuzzy]
     return cascade(s, key, tiers)
 
 
@@ -320,16 +364,20 @@ def match_municipal(source: DataFrame, master: DataFrame, aliases: DataFrame, ke
     address that these leave unmatched takes a unique name, the unique web row with capacity and address, the unique open
     row or the unique open web row of its name; several of a name are ambiguous; else the first tiers' answer stands.
     """
-    s = _keyed(source, "municipality", "shelter_name", "address", "s_", name_key_municipal, address_key_municipal).select(key, "s_muni", "s_name", "s_addr", name_variants(F.col("s_name")).alias("s_vars"))
-    m = _keyed(master, "municipality", "shelter_name", "address", "m_", name_key_municipal, address_key_municipal).select(F.col("shelter_id").alias("m_id"), F.col("m_muni").alias("s_muni"), "m_name", "m_addr", name_variants(F.col("m_name")).alias("m_vars"), F.coalesce(F.col("is_open"), F.lit(False)).alias("m_open"), F.coalesce(F.replace(F.trim(F.col("capacity").cast("string")), F.lit(","), F.lit("")).try_cast("double"), F.lit(0.0)).alias("m_cap"))
+    s = cut_lineage(_keyed(source, "municipality", "shelter_name", "address", "s_", name_key_municipal, address_key_municipal).select(key, "s_muni", "s_name", "s_addr"))
+    m = _keyed(master, "municipality", "shelter_name", "address", "m_", name_key_municipal, address_key_municipal).select(F.col("shelter_id").alias("m_id"), F.col("m_muni").alias("s_muni"), "m_name", "m_addr", F.coalesce(F.col("is_open"), F.lit(False)).alias("m_open"), F.coalesce(F.replace(F.trim(F.col("capacity").cast("string")), F.lit(","), F.lit("")).try_cast("double"), F.lit(0.0)).alias("m_cap"))
+    m = cut_lineage(m)
     a = aliases.select(municipality_key(F.col("municipality")).alias("s_muni"), name_key_municipal(F.col("source_shelter_name")).alias("s_name"), address_key_municipal(F.col("source_address")).alias("s_addr"), "shelter_id", "_ord")
     a = a.where("s_muni <> '' and s_name <> '' and trim(shelter_id) <> ''")
     exact_alias = a.groupBy("s_muni", "s_name", "s_addr").agg(F.max_by("shelter_id", "_ord").alias("m_id"))
     any_alias = a.groupBy("s_muni", "s_name").agg(F.max_by("shelter_id", "_ord").alias("m_id"))
     ids = m.select("m_id", F.lit(True).alias("_there"))
 
+    rows, row_key, key = s, key, "_text"  # the tiers decide distinct texts
+    s = rows.select("s_muni", "s_name", "s_addr").distinct().withColumn(key, F.struct("s_muni", "s_name", "s_addr"))
     found_alias = exact_alias.select("s_muni", "s_name", "s_addr", F.col("m_id").alias("_exact")).where("s_addr <> ''")
     s = s.join(found_alias, ["s_muni", "s_name", "s_addr"], "left").join(any_alias.withColumnRenamed("m_id", "_any"), ["s_muni", "s_name"], "left").withColumn("_alias", F.coalesce("_exact", "_any")).drop("_exact", "_any")
+    s = cut_lineage(s)
     dangling = F.col("_alias").isNotNull()
 
     def by_alias(rest: DataFrame) -> DataFrame:
@@ -340,16 +388,32 @@ def match_municipal(source: DataFrame, master: DataFrame, aliases: DataFrame, ke
         nowhere = rest.where(~dangling).join(m.select("s_muni").distinct(), "s_muni", "left_anti")
         return rest.where(dangling).select(key, *decision("unmatched", "alias_target_missing", 0.0)).unionByName(nowhere.select(key, *decision("unmatched", "municipality_not_found", 0.0)))
 
-    def scored(rest: DataFrame) -> DataFrame:
-        pairs = rest.join(m, "s_muni")
-        name = best_similarity("s_vars", "m_vars")
-        addr = F.when(F.col("s_addr") != "", similarity(F.when(F.col("s_addr") != "", F.col("s_addr")), "m_addr"))
-        pairs = pairs.withColumns({"_name": name, "_addr": F.coalesce(addr, F.lit(0.0)), "_same_name": F.arrays_overlap("s_vars", "m_vars"), "_same_addr": (F.col("s_addr") != "") & (F.col("s_addr") == F.col("m_addr"))})
-        total = F.least(F.lit(1.0), rules.name_weight * F.col("_name") + rules.address_weight * F.col("_addr") + F.when(F.col("m_open"), rules.open_bonus).otherwise(0.0))
-        return pairs.withColumn("total", total)
-
-    def scores_tier(rest: DataFrame) -> DataFrame:
-        rows = scored(rest.where(~dangling))
+    def total(name: Column, addr: Column) -> Column:
+        return F.least(F.lit(1.0), rules.name_weight * name + rules.address_weight * addr + F.when(F.col("m_open"), rules.open_bonus).otherwise(0.0))
+
+    def best_of_class(texts: DataFrame) -> DataFrame:
+        """Of each name of a municipality the two best master rows of one address, state and sameness of name, and how many there are.
+
+        Within a class the total of any text grows with the name's score alone, so its two best are among these. `n` stands on the first row.
+        """
+        place = ["s_muni", "m_addr", "m_open"]
+        named = cut_lineage(texts.select("s_muni", "s_name").distinct().join(m.select("s_muni", "m_name").distinct(), "s_muni"))
+        vars_of = lambda c: name_variants(F.col(c))
+        scores = dealt(named.select("s_name", "m_name"), "m_name").select("s_name", "m_name", best_similarity(vars_of("s_name"), vars_of("m_name")).alias("_name"), F.arrays_overlap(vars_of("s_name"), vars_of("m_name")).alias("_same_name"))
+        named = cut_lineage(named.join(scores, ["s_name", "m_name"]))
+        sizes = m.groupBy(*place, "m_name").agg(F.count("*").alias("_rows"))
+        n = named.where("_same_name").join(sizes, ["s_muni", "m_name"]).groupBy(*place, "s_name", "_same_name").agg(F.sum("_rows").alias("n"))
+        cls = [*place, "s_name", "_same_name"]
+        ranked = named.join(first_targets(m.select("s_muni", "m_name", "m_addr", "m_open", "m_id"), [*place, "m_name"], "m_id"), ["s_muni", "m_name"])
+        ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy(*cls).orderBy(F.col("_name").desc(), "m_id"))).where("_r <= 2")
+        return cut_lineage(ranked.join(n, cls, "left").select(*cls, "_name", "m_id", F.when(F.col("_r") == 1, F.col("n")).otherwise(0).alias("n")))
+
+    def scores_tier(texts: DataFrame) -> DataFrame:
+        pairs = texts.join(best_of_class(texts), ["s_muni", "s_name"])
+        addresses = texts.select("s_muni", "s_addr").where("s_addr <> ''").distinct().join(m.select("s_muni", "m_addr").distinct(), "s_muni")
+        addresses = dealt(addresses.select("s_addr", "m_addr"), "m_addr").withColumn("_addr", similarity("s_addr", "m_addr"))
+        rows = pairs.join(addresses, ["s_addr", "m_addr"], "left").withColumns({"_addr": F.coalesce("_addr", F.lit(0.0)), "_same_addr": (F.col("s_addr") != "") & (F.col("s_addr") == F.col("m_addr"))})
+        rows = rows.withColumn("total", total(F.col("_name"), F.col("_addr")))
         both = F.col("_same_name") & F.col("_same_addr")
         order = [F.col("total").desc(), F.col("m_id")]
         rows = rows.withColumn("_both", both)
@@ -358,9 +422,10 @@ def match_municipal(source: DataFrame, master: DataFrame, aliases: DataFrame, ke
         row = F.struct("total", "m_id", "m_open")
         pick = lambda cond, x, n: F.max(F.when(cond & (F.col(f"_n{x}") == n), row))
         best = lambda cond, x: F.transform(F.array_sort(F.collect_list(F.when(cond & (F.col(f"_n{x}") <= 2), F.struct(f"_n{x}", "m_id")))), lambda v: v["m_id"])
+        count = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
         yes = F.lit(True)
         g = rows.groupBy(key).agg(
-            F.count_if("_both").alias("n_both"), F.count_if(F.col("_both") & F.col("m_open")).alias("n_open"), F.max(F.when(F.col("_both") & F.col("m_open"), row)).alias("opened"), F.count_if("_same_name").alias("n_name"),
+            count(F.col("_both")).alias("n_both"), count(F.col("_both") & F.col("m_open")).alias("n_open"), F.max(F.when(F.col("_both") & F.col("m_open"), row)).alias("opened"), count(F.col("_same_name")).alias("n_name"),
             *(pick(cond, x, n).alias(f"{name}{n}") for name, cond, x in (("top", yes, ""), ("addr", F.col("_same_addr"), "a"), ("both", F.col("_both"), "b"), ("named", F.col("_same_name"), "n")) for n in (1, 2)),
             best(yes, "").alias("two"), best(F.col("_same_addr"), "a").alias("two_addr"), best(F.col("_both"), "b").alias("two_both"), best(F.col("_same_name"), "n").alias("two_name"),
         )
@@ -377,11 +442,16 @@ def match_municipal(source: DataFrame, master: DataFrame, aliases: DataFrame, ke
         chosen = F.coalesce(*(F.when(cond, F.struct(method.alias("method"), hit["total"].alias("score"), hit["m_id"].alias("id"), F.col(two).alias("two"))) for cond, method, hit, two in tiers))
         return g.withColumn("_d", chosen)
 
+    verdicts = cut_lineage(scores_tier(s.where(~dangling)).select(key, "_d", F.col("top1.total").alias("top"), "two"))
+
     def decided(rest: DataFrame) -> DataFrame:
-        return scores_tier(rest).where("_d is not null").select(key, *decision("matched", F.col("_d.method"), F.col("_d.score"), F.array("_d.id"), F.col("_d.two")))
+        return verdicts.where("_d is not null").select(key, *decision("matched", F.col("_d.method"), F.col("_d.score"), F.array("_d.id"), F.col("_d.two")))
 
     def no_address(rest: DataFrame) -> DataFrame:
-        rows = scored(rest.where("s_addr = ''")).where("_same_name")
+        variant = lambda df, c: df.select("s_muni", c, F.explode(name_variants(F.col(c))).alias("_variant")).distinct()
+        blank = rest.where("s_addr = ''")
+        same = variant(blank, "s_name").join(variant(m, "m_name"), ["s_muni", "_variant"]).select("s_muni", "s_name", "m_name").distinct()
+        rows = blank.join(same, ["s_muni", "s_name"]).join(m, ["s_muni", "m_name"]).withColumn("total", total(F.lit(1.0), F.lit(0.0)))
         web = F.startswith("m_id", F.lit("web:"))
         good = web & (F.col("m_cap") > 0) & (F.length("m_addr") >= rules.min_address_key)
         # fixed values: methods
@@ -396,7 +466,7 @@ def match_municipal(source: DataFrame, master: DataFrame, aliases: DataFrame, ke
         return g.withColumn("_d", one).select(key, *decision(F.when(ok, "matched").otherwise("ambiguous"), F.when(ok, F.col("_d.method")).otherwise("exact_name_multiple_without_source_address"), F.when(ok, F.col("_d.score")).otherwise(F.col("top")), F.when(ok, F.array("_d.id")).otherwise(F.array().cast(_NONE)), F.when(ok, F.col("_d.two")).otherwise(F.col("two"))))
 
     def unsure(rest: DataFrame) -> DataFrame:
-        close = F.col("top1.total") >= rules.ambiguous
-        return scores_tier(rest).select(key, *decision(F.when(close, "ambiguous").otherwise("unmatched"), F.when(close, "candidate_margin_too_small").otherwise("no_high_confidence_candidate"), F.col("top1.total"), None, F.col("two")))
+        close = F.col("top") >= rules.ambiguous
+        return verdicts.join(rest.select(key), key, "left_semi").select(key, *decision(F.when(close, "ambiguous").otherwise("unmatched"), F.when(close, "candidate_margin_too_small").otherwise("no_high_confidence_candidate"), F.col("top"), None, F.col("two")))
 
-    return cascade(s, key, [by_alias, decided, no_address, lost, unsure])
+    return each(rows, row_key, ["s_muni", "s_name", "s_addr"], lambda texts, _: cascade(s, key, [by_alias, decided, no_address, lost, unsure]))

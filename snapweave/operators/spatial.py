@@ -39,9 +39,9 @@ def radius_join(points: DataFrame, targets: DataFrame, radius_m: float, p_lat: s
     return left.join(right, ["_x", "_y", "_s", *(on or [])]).drop("_x", "_y", "_s").withColumn("distance_m", distance).where(F.col("distance_m") <= radius_m)
 
 
-def first_targets(targets: DataFrame, at: list[str], tie: str, n: int = 2) -> DataFrame:
-    """The n smallest of targets that agree in the columns `at`: no other can be among the n nearest of any point."""
-    return targets.withColumn("_n", F.row_number().over(Window.partitionBy(*at).orderBy(tie))).where(F.col("_n") <= n).drop("_n")
+def first_targets(targets: DataFrame, at: list[str], *order: Column | str, n: int = 2) -> DataFrame:
+    """The first n of targets that agree in the columns `at`: where these decide all but ties, no other can be among the n best of any point."""
+    return targets.withColumn("_n", F.row_number().over(Window.partitionBy(*at).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
 
 
 @dataclass(frozen=True)

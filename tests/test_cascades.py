@@ -231,3 +231,39 @@ def test_name_pairs_lose_none(spark):
     right = spark.createDataFrame([(k, x) for k, x in enumerate(names[60:])], "m_id int, m_name string")
     got = {(x["row_id"], x["m_id"]) for x in linkage.name_pairs(left, right, "row_id", "m_id").collect()}
     assert got == {(i, j) for i, a in enumerate(names[:60]) for j, b in enumerate(names[60:]) if a and b and ratio(a, b) >= 0.8} and got
+
+
+@pytest.mark.parametrize("name", ["reference", "capacity", "municipal"])
+def test_copies_are_compared_once(spark, monkeypatch, name):
+    """Rows with texts that others have too take their decision, and cost no comparison of their own."""
+    compared = spark.sparkContext.accumulator(0)
+
+    def counted(udf):
+        def count(a, b):
+            compared.add(len(a))
+            return udf.func(a, b)
+
+        count.__annotations__ = {"a": "pd.Series", "b": "pd.Series", "return": "pd.Series"}
+        return F.pandas_udf(count, "double", F.PandasUDFType.SCALAR)
+
+    monkeypatch.setattr(linkage, "similarity", counted(text.similarity))
+    monkeypatch.setattr(linkage, "best_similarity", counted(text.best_similarity))
+    source, master = q._parts(spark, SF, True).where("shelter_name <> ''"), q._parts(spark, SF, False)
+    ids = {"reference": "common_id", "capacity": "portal_shelter_id", "municipal": "shelter_id"}
+    master = master.withColumnsRenamed({"latitude": "portal_latitude", "longitude": "portal_longitude"}) if name == "capacity" else master
+    master = master.withColumn(ids[name], F.col("row_id").cast("string")).drop("row_id").withColumns({"is_open": F.lit(False), "capacity": F.lit("0")})
+    aliases = spark.createDataFrame([], "municipality string, source_shelter_name string, source_address string, shelter_id string, _ord int")
+
+    def run(rows, to):
+        before = compared.value
+        out = {"reference": linkage.match_reference, "capacity": linkage.match_capacity, "municipal": lambda s, m: linkage.match_municipal(s, m, aliases)}[name](rows, to)
+        got = {r["row_id"]: tuple(r)[1:] for r in out.collect()}
+        return got, compared.value - before
+
+    copies = source.withColumn("row_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.col("row_id") + i * 100_000)))
+    one, few = run(source, master)
+    many, more = run(copies, master)
+    assert len(many) == 10 * len(one) and all(many[k] == one[k % 100_000] for k in many)
+    twice = master.withColumn(ids[name], F.explode(F.array(ids[name], *(F.concat(F.lit(f"z{i}-"), ids[name]) for i in range(7)))))
+    _, most = run(source, twice)
+    assert 0 < few and more <= 1.2 * few and most <= 3 * few, (few, more, most)
