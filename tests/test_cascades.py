@@ -235,8 +235,10 @@ def test_name_pairs_lose_none(spark):
 
 @pytest.mark.parametrize("name", ["reference", "capacity", "municipal"])
 def test_copies_are_compared_once(spark, monkeypatch, name):
-    """Rows with texts that others have too take their decision, and cost no comparison of their own."""
-    compared = spark.sparkContext.accumulator(0)
+    """Rows with texts that others have too take their decision, and cost no pair and no comparison of their own."""
+    compared, met = spark.sparkContext.accumulator(0), []
+    fuzzy_tier = linkage.fuzzy_tier
+    monkeypatch.setattr(linkage, "fuzzy_tier", lambda pairs, *rest: met.append(pairs.count()) or fuzzy_tier(pairs, *rest))
 
     def counted(udf):
         def count(a, b):
@@ -256,14 +258,16 @@ def test_copies_are_compared_once(spark, monkeypatch, name):
 
     def run(rows, to):
         before = compared.value
+        met.clear()
         out = {"reference": linkage.match_reference, "capacity": linkage.match_capacity, "municipal": lambda s, m: linkage.match_municipal(s, m, aliases)}[name](rows, to)
         got = {r["row_id"]: tuple(r)[1:] for r in out.collect()}
-        return got, compared.value - before
+        return got, compared.value - before, sum(met)
 
     copies = source.withColumn("row_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.col("row_id") + i * 100_000)))
-    one, few = run(source, master)
-    many, more = run(copies, master)
+    one, few, pairs = run(source, master)
+    many, more, as_many = run(copies, master)
+    assert as_many == pairs and (pairs or name == "municipal")
     assert len(many) == 10 * len(one) and all(many[k] == one[k % 100_000] for k in many)
     twice = master.withColumn(ids[name], F.explode(F.array(ids[name], *(F.concat(F.lit(f"z{i}-"), ids[name]) for i in range(7)))))
-    _, most = run(source, twice)
+    _, most, _ = run(source, twice)
     assert 0 < few and more <= 1.2 * few and most <= 3 * few, (few, more, most)
