@@ -111,6 +111,20 @@ def test_every_text_beyond_a_leaf_goes_through_the_tree(monkeypatch):
     assert all(ids[k].tolist() == t.encode(texts[k].decode(), add_special_tokens=False).ids for k in long)
 
 
+def test_leaves_and_windows_cost_only_their_new_units():
+    import random
+
+    r, t = random.Random(3), tokenizer(WORD_BPE)
+    words = ["Straße", "it's", "naïve", "e\u0301", "日本", "word", "<p>", "x1", "ÅΣ", "\U0001f600"]
+    texts = [" ".join(r.choices(words, k=6000)) for _ in range(3)]
+    one = bpe.Encoder()
+    encode, asked = one.units.encode, []
+    one.units.encode = lambda pieces: asked.extend(pieces) or encode(pieces)
+    for _ in range(2):
+        assert [x.tolist() for x in one([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert len(asked) == len(set(asked)) and sum(map(len, asked)) < 5000 < bpe.LEAF * 3
+
+
 def test_missing_vocabulary():
     with pytest.raises(Exception):
         tokenizer("/nowhere.json")
