@@ -53,6 +53,14 @@ def each(rest: DataFrame, key: str, columns: Sequence[str], decide: Callable[[Da
     return rest.select(key, text.alias(name)).join(decide(texts, name).select(name, *DECISION), name).drop(name)
 
 
+def each_numbered(rest: DataFrame, key: str, columns: Sequence[str], decide: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """`each` with a number as the texts' key, which sorts faster than the texts; no column may be null."""
+    name = "_number" if key != "_number" else "_part"
+    texts = cut_lineage(rest.select(*columns).distinct().withColumn(name, F.monotonically_increasing_id()))
+    decided = texts.join(decide(texts, name).select(name, *DECISION), name).drop(name)
+    return rest.select(key, *columns).join(decided, list(columns)).select(key, *DECISION)
+
+
 def dealt(pairs: DataFrame, column: str) -> DataFrame:
     """Distinct pairs over all cores: few bytes, but costly to compare, so Spark's own partitions would be too few."""
     spark = pairs.sparkSession
@@ -91,7 +99,7 @@ def fuzzy_tier(pairs: DataFrame, key: str, master_id: str, rules: Fuzzy) -> Data
     both UDFs on all pairs if they stood in one projection, so the second is guarded by passing it nulls.
     """
     named = (pairs if "name_score" in pairs.columns else pairs.withColumn("name_score", similarity("s_name", "m_name"))).where(F.col("name_score") >= rules.least_name_candidate)
-    scored = named.withColumn("address_score", F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), similarity(F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), F.col("s_addr")), "m_addr")))
+    scored = named if "address_score" in pairs.columns else named.withColumn("address_score", F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), similarity(F.when((F.col("s_addr") != "") & (F.col("m_addr") != ""), F.col("s_addr")), "m_addr")))
     total = F.when(F.col("s_addr") == "", F.col("name_score")).otherwise(rules.name_weight * F.col("name_score") + (1 - rules.name_weight) * F.coalesce("address_score", F.lit(0.0)))
     w = Window.partitionBy(key).orderBy(F.col("total").desc(), F.col(master_id))
     ranked = scored.withColumn("total", total).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max(rules.keep, 2))
@@ -109,12 +117,12 @@ def _tokens(c: Column) -> Column:
     return F.transform(chars, lambda v, k: F.concat(v, (k + 1 - F.array_position(chars, v)).cast("string")))
 
 
-def name_pairs(source: DataFrame, master: DataFrame, key: str, master_id: str, on: Sequence[str] = (), least: float = 0.80) -> DataFrame:
-    """All pairs of `on` blocks whose names s_name and m_name have a ratio of `least` at least, as name_score.
+def name_scores(source: DataFrame, master: DataFrame, on: Sequence[str] = (), least: float = 0.80) -> DataFrame:
+    """Of `on` blocks all pairs of different names s_name and m_name that have a ratio of `least` at least, with name_score.
 
     A ratio 2 M / T of `least` bounds the lengths, and M is at most what the names share as multisets of characters. So
-    two such names share one of the first tokens of each, in any fixed order: an equi-join instead of a cross join.
-    Each pair of different names is compared once, however many rows have them.
+    two such names share one of the first tokens of each, in any fixed order: an equi-join instead of a cross join. Of the
+    pairs it makes, those that share enough characters in all are compared, each once, however many rows have them.
     """
     other = least / (2 - least)  # the shorter name's length, as a part of the longer one's, is at least this
 
@@ -122,33 +130,65 @@ def name_pairs(source: DataFrame, master: DataFrame, key: str, master_id: str, o
         n = F.length(c)
         # of n characters this many are shared at least, with the shortest partner
         shared = F.ceil(n * other - 1e-9).cast("int")
-        return df.withColumn("_token", F.explode(F.slice(_tokens(F.col(c)), F.lit(1), F.greatest(n - shared + 1, F.lit(0)))))
+        return df.select(*on, c).distinct().withColumn("_token", F.explode(F.slice(_tokens(F.col(c)), F.lit(1), F.greatest(n - shared + 1, F.lit(0)))))
 
     lengths = (F.length("m_name") >= F.length("s_name") * other - 1e-9) & (F.length("s_name") >= F.length("m_name") * other - 1e-9)
-    keys = source.select(*on, "s_name").distinct(), master.select(*on, "m_name").distinct()
-    near = begun(keys[0], "s_name").join(begun(keys[1], "m_name"), [*on, "_token"]).where(lengths).select("s_name", "m_name", *on).distinct()
-    near = cut_lineage(near)
+    near = begun(source, "s_name").join(begun(master, "m_name"), [*on, "_token"]).where(lengths).select(*on, "s_name", "m_name").distinct()
+    left, right = (df.select(c).distinct().withColumn(tokens, _tokens(F.col(c))) for df, c, tokens in ((source, "s_name", "_s"), (master, "m_name", "_m")))
+    near = near.join(left, "s_name").join(right, "m_name").where(2 * F.size(F.array_intersect("_s", "_m")) >= least * (F.length("s_name") + F.length("m_name")) - 1e-9)
+    near = cut_lineage(near.select(*on, "s_name", "m_name"))
     scores = dealt(near.select("s_name", "m_name"), "m_name").withColumn("name_score", similarity("s_name", "m_name")).where(F.col("name_score") >= least)
-    near = near.join(scores, ["s_name", "m_name"])
-    return source.join(near, [*on, "s_name"]).join(master, [*on, "m_name"])
+    return near.join(scores, ["s_name", "m_name"])
 
 
-def fuzzy_texts(texts: DataFrame, master: DataFrame, key: str, rules: Fuzzy, block: Sequence[str] = (), on: Sequence[str] = (), inside: Column | None = None) -> DataFrame:
-    """`fuzzy_tier` of distinct texts (key, *block, s_name, s_addr) against the master rows (*on, m_name, m_addr, m_id) of their block.
+def name_pairs(source: DataFrame, master: DataFrame, key: str, master_id: str, on: Sequence[str] = (), least: float = 0.80) -> DataFrame:
+    """All pairs of rows of `on` blocks whose names have a ratio of `least` at least."""
+    return source.join(name_scores(source, master, on, least), [*on, "s_name"]).join(master, [*on, "m_name"])
 
-    A block is that of the columns `on`, or what `inside` says. With one address on either side the total grows with the name's score
-    alone, so of each name's candidates at one address only the first `keep` can be among the first `keep` of all.
+
+def best_names(names: DataFrame, master: DataFrame, on: Sequence[str], n: int) -> DataFrame:
+    """Of each name and address (and block) the n first master rows by name_score, then m_id.
+
+    Most addresses are full after the names of the highest score; rows of lower scores are dropped there before they are sorted.
     """
-    few = first_targets(master, [c for c in master.columns if c != "m_id"], "m_id", n=max(rules.keep, 2))
-    near = name_pairs(texts.select(*block, "s_name").distinct(), few, key, "m_id", on)
-    near = near if inside is None else near.where(inside)
-    best = first_targets(near, [*block, "s_name", "m_addr"], F.col("name_score").desc(), "m_id", n=max(rules.keep, 2))
-    pairs = texts.join(best.select(*block, "s_name", "m_name", "m_addr", "m_id", "name_score"), [*block, "s_name"])
-    return fuzzy_tier(pairs, key, "m_id", rules)
+    place = [c for c in master.columns if c not in ("m_name", "m_id")]
+    by_score = F.col("name_score").desc(), F.col("m_id")
+    names = cut_lineage(name_scores(names, master, on))
+    names = cut_lineage(names.withColumn("_level", F.dense_rank().over(Window.partitionBy(*on, "s_name").orderBy(F.col("name_score").desc()))))
+    names = names.repartition(max(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * names.sparkSession.sparkContext.defaultParallelism))
+    master = cut_lineage(master)
+    top = cut_lineage(first_targets(names.where("_level = 1").join(master, [*on, "m_name"]), ["s_name", *place], *by_score, n=n))
+    full = cut_lineage(top.groupBy("s_name", *place).count().where(F.col("count") >= n).drop("count"))
+    rest = names.where("_level > 1").join(master, [*on, "m_name"]).join(full, ["s_name", *place], "left_anti")
+    return first_targets(top.unionByName(rest), ["s_name", *place], *by_score, n=n).drop("_level")
+
 
+def fuzzy_texts(texts: DataFrame, master: DataFrame, key: str, rules: Fuzzy, block: Sequence[str] = (), on: Sequence[str] = (), inside: Column | None = None) -> DataFrame:
+    """`fuzzy_tier` of distinct texts (key, *block, s_name, s_addr) against the master rows (*on, m_name, m_addr, m_id) of their block.
 
-def _keyed(df: DataFrame, municipality: str, name: str, address: str, prefix: str, name_key=name_key_reference, addr_key=address_key) -> DataFrame:
-    return df.withColumns({f"{prefix}muni": municipality_key(F.col(municipality)), f"{prefix}name": name_key(F.col(name)), f"{prefix}addr": addr_key(F.col(address))})
+    A block is that of the columns `on`, or what `inside` says of a master row's other columns. With one address on either side
+    the total grows with the name's score alone, so of each name's candidates at one address only the first `keep` can be among the first `keep` of all.
+    """
+    n = max(rules.keep, 2)
+    few = first_targets(master, [c for c in master.columns if c != "m_id"], "m_id", n=n)
+    best = cut_lineage(best_names(texts.select(*on, "s_name").distinct(), few, on, n))
+    if inside is not None:
+        best = texts.select(*block, "s_name").distinct().join(best, "s_name").where(inside)
+        best = first_targets(best, [*block, "s_name", "m_addr"], F.col("name_score").desc(), "m_id", n=n)
+    pairs = cut_lineage(texts.join(best.select(*block, "s_name", "m_name", "m_addr", "m_id", "name_score"), [*block, "s_name"]))
+    both = (F.col("s_addr") != "") & (F.col("m_addr") != "")
+    addresses = dealt(pairs.where(both).select("s_addr", "m_addr"), "m_addr").withColumn("address_score", similarity("s_addr", "m_addr"))
+    return fuzzy_tier(pairs.join(cut_lineage(addresses), ["s_addr", "m_addr"], "left"), key, "m_id", rules)
+
+
+def _keyed(df: DataFrame, municipality: str, name: str, address: str, prefix: str, name_key=name_key_reference, addr_key=address_key, infer: bool = False) -> DataFrame:
+    """df with the keys of its texts, which are made once for each distinct text; with `infer` a blank municipality comes from the address."""
+    raw = {f"_{prefix}{part}": F.coalesce(F.col(c).cast("string"), F.lit("")) for part, c in (("muni", municipality), ("name", name), ("addr", address))}
+    town, title, place = (F.col(c) for c in raw)
+    town = F.when(F.trim(town) != "", town).otherwise(infer_municipality(clean_text(place))) if infer else town
+    rows = df.withColumns(raw)
+    keys = rows.select(*raw).distinct().withColumns({f"{prefix}muni": municipality_key(town), f"{prefix}name": name_key(title), f"{prefix}addr": addr_key(place)})
+    return rows.join(cut_lineage(keys), list(raw)).drop(*raw)
 
 
 def municipality_block(source: DataFrame, master: DataFrame) -> DataFrame:
@@ -175,10 +215,11 @@ def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", m
         master = master.withColumn(municipality, F.lit(""))
     s = _keyed(source, municipality, name, address, "s_").select(key, "s_muni", "s_name", "s_addr")
     m = cut_lineage(_keyed(master, municipality, name, address, "m_").select(F.col(master_id).cast("string").alias("m_id"), "m_muni", "m_name", "m_addr"))
-    row_key, key = key, "_text"  # the tiers decide distinct texts
+    row_key, key = key, "_number"  # the tiers decide distinct texts
     ids = F.array_sort(F.collect_list("m_id"))
     by_both = m.groupBy(F.col("m_name").alias("s_name"), F.col("m_addr").alias("s_addr")).agg(ids.alias("ids"))
-    same_name = m.withColumnRenamed("m_name", "s_name")
+    whole = m.groupBy(F.col("m_name").alias("s_name")).agg(F.count("*").alias("n"), F.size(F.collect_set("m_addr")).alias("addrs"), ids.alias("ids"))
+    places = m.groupBy(F.col("m_name").alias("s_name"), "m_muni", "m_addr").agg(F.count("*").alias("_rows"), F.collect_list("m_id").alias("_ids"))
     in_block = (F.col("s_muni") == "") | F.contains("m_addr", "s_muni") | F.contains("m_muni", "s_muni")
 
     def missing(rest: DataFrame) -> DataFrame:
@@ -189,8 +230,9 @@ def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", m
         return hit.select(key, *decision(F.when(F.size("ids") == 1, "matched").otherwise("matched_multiple"), "exact_name_address", 1.0, F.col("ids")))
 
     def namesakes(rest: DataFrame, key: str) -> DataFrame:
-        rows = rest.join(same_name, "s_name").withColumn("_in", in_block)
-        g = rows.groupBy(key).agg(F.count_if("_in").alias("n_in"), F.count_distinct(F.when(F.col("_in"), F.col("m_addr"))).alias("addr_in"), F.array_sort(F.collect_list(F.when(F.col("_in"), F.col("m_id")))).alias("ids_in"), F.count("*").alias("n"), F.count_distinct("m_addr").alias("addrs"), ids.alias("ids"))
+        rows = rest.join(places, "s_name").withColumn("_in", in_block)
+        g = rows.groupBy(key, "s_name").agg(F.coalesce(F.sum(F.when(F.col("_in"), F.col("_rows"))), F.lit(0)).alias("n_in"), F.size(F.collect_set(F.when(F.col("_in"), F.col("m_addr")))).alias("addr_in"), F.array_sort(F.flatten(F.collect_list(F.when(F.col("_in"), F.col("_ids"))))).alias("ids_in"))
+        g = g.join(whole, "s_name")
         one_here, group_here = F.col("n_in") == 1, (F.col("n_in") > 1) & (F.col("addr_in") == 1)
         conflict, group = F.col("n") == 1, F.col("addrs") == 1
         status = F.when(one_here, "matched").when(group_here, "matched_multiple").when(conflict, "unmatched").when(group, "matched_multiple").otherwise("ambiguous")
@@ -200,16 +242,16 @@ def match_reference(source: DataFrame, master: DataFrame, key: str = "row_id", m
         return g.select(key, *decision(status, method, score, matches, F.when(status == "unmatched", F.col("ids")).when(status == "ambiguous", F.when(F.size("ids_in") > 0, F.col("ids_in")).otherwise(F.col("ids"))).otherwise(F.array().cast(_NONE))))
 
     def same(rest: DataFrame) -> DataFrame:
-        return each(rest, key, ["s_muni", "s_name"], namesakes)
+        return each_numbered(rest, key, ["s_muni", "s_name"], namesakes)
 
     def fuzzy(rest: DataFrame) -> DataFrame:
         # a municipality that no master address holds takes the whole master, as a blank one does; any other its own rows
         known = municipality_block(rest, m).select("s_muni").distinct().withColumn("_block", F.col("s_muni"))
         rest = cut_lineage(rest.join(known, "s_muni", "left").withColumn("_block", F.coalesce("_block", F.lit(""))))
         here = (F.col("_block") == "") | F.contains("m_addr", "_block") | F.contains("m_muni", "_block")
-        return each(rest, key, ["_block", "s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m, text, REFERENCE_FUZZY, ["_block"], inside=here))
+        return each_numbered(rest, key, ["_block", "s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m, text, REFERENCE_FUZZY, ["_block"], inside=here))
 
-    return each(cut_lineage(s), row_key, ["s_muni", "s_name", "s_addr"], lambda texts, _: cascade(texts, key, [missing, exact, same, fuzzy]))
+    return each_numbered(cut_lineage(s), row_key, ["s_muni", "s_name", "s_addr"], lambda texts, _: cascade(texts, key, [missing, exact, same, fuzzy]))
 
 
 def enrich_reference(decisions: DataFrame, master: DataFrame, key: str = "row_id", master_id: str = "common_id", attributes: Sequence[str] = ()) -> DataFrame:
@@ -231,8 +273,7 @@ def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", ma
     A blank municipality is inferred from the address. A record's pool is its municipality, or the whole master if it has
     none or the master doesn't know it. Without a master all rows are `master_unavailable`.
     """
-    place = F.when(F.trim(F.coalesce(F.col(municipality), F.lit(""))) != "", F.col(municipality)).otherwise(infer_municipality(clean_text(F.col(address))))
-    s = _keyed(source.withColumn(municipality, place), municipality, name, address, "s_", name_key_capacity)
+    s = _keyed(source, municipality, name, address, "s_", name_key_capacity, infer=True)
     s_id = F.trim(F.coalesce(F.col(master_id).cast("string"), F.lit(""))) if master_id in source.columns else F.lit("")
     s = s.select(key, "s_muni", "s_name", "s_addr", s_id.alias("s_id"), parse_coordinate(_first_filled(s, lat), -90, 90).alias("s_lat"), parse_coordinate(_first_filled(s, lon), -180, 180).alias("s_lon"))
     m = _keyed(master.where(F.trim(F.coalesce(F.col(name), F.lit(""))) != ""), municipality, name, address, "m_", name_key_capacity)
@@ -249,7 +290,10 @@ def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", ma
         names = dealt(pairs.select("s_name", "m_name"), "m_name").withColumn("name_score", similarity("s_name", "m_name"))
         both = (F.col("s_addr") != "") & (F.col("m_addr") != "")
         addresses = dealt(pairs.where(both).select("s_addr", "m_addr"), "m_addr").withColumn("address_score", similarity("s_addr", "m_addr"))
-        scored = pairs.join(names, ["s_name", "m_name"]).join(addresses, ["s_addr", "m_addr"], "left").withColumn("address_score", F.coalesce("address_score", F.lit(0.0)))
+        # a hash before the texts, for the sort: texts are compared only where it is equal
+        hashed = lambda df, s, m: df.withColumn("_hash", F.xxhash64(s, m))
+        scored = hashed(pairs, "s_name", "m_name").join(hashed(names, "s_name", "m_name"), ["_hash", "s_name", "m_name"]).select(key, "s_addr", "m_addr", "m_id", "distance_m", "name_score")
+        scored = hashed(scored, "s_addr", "m_addr").join(hashed(addresses, "s_addr", "m_addr"), ["_hash", "s_addr", "m_addr"], "left").select(key, "m_id", "distance_m", "name_score", F.coalesce("address_score", F.lit(0.0)).alias("address_score"))
         hit = accept_nearest(scored, key, tie="m_id").where("status is not null")
         return hit.select(key, *decision(F.col("status"), F.col("method"), F.col("score"), F.when(F.col("status") == "matched", F.array("m_id")).otherwise(F.array().cast(_NONE)), F.array("m_id")))
 
@@ -257,7 +301,7 @@ def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", ma
         """Decisions by the nearest of the master rows that agree in the columns m_ for s_ of `equal`."""
         targets = placed.withColumns({c: F.col("m_" + c[2:]) for c in equal})
         near = lambda texts: radius_join(texts, targets, Weights().radius_m, "s_lat", "s_lon", "m_lat", "m_lon", on=list(equal)).where(allowed)
-        return each(rest.where("s_lat is not null and s_lon is not null"), key, ["s_muni", "s_name", "s_addr", "s_lat", "s_lon", "_known"], lambda texts, text: nearest(near(texts), text))
+        return each_numbered(rest.where("s_lat is not null and s_lon is not null"), key, ["s_muni", "s_name", "s_addr", "s_lat", "s_lon", "_known"], lambda texts, text: nearest(near(texts), text))
 
     def unavailable(rest: DataFrame) -> DataFrame:
         return rest.crossJoin(F.broadcast(m.agg(F.count("*").alias("_rows")))).where("_rows = 0").select(key, *decision("master_unavailable", "capacity_master_not_found", 0.0))
@@ -298,8 +342,8 @@ def match_capacity(source: DataFrame, master: DataFrame, key: str = "row_id", ma
         return by_place(rest.where("_known"), ["s_muni"]).unionByName(by_place(rest.where("not _known"), []))
 
     def fuzzy(rest: DataFrame) -> DataFrame:
-        inside = each(rest.where("_known"), key, ["s_muni", "s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m.withColumnRenamed("m_muni", "s_muni").select("s_muni", "m_name", "m_addr", "m_id"), text, CAPACITY_FUZZY, ["s_muni"], ["s_muni"]))
-        outside = each(rest.where("not _known"), key, ["s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m.select("m_name", "m_addr", "m_id"), text, CAPACITY_FUZZY))
+        inside = each_numbered(rest.where("_known"), key, ["s_muni", "s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m.withColumnRenamed("m_muni", "s_muni").select("s_muni", "m_name", "m_addr", "m_id"), text, CAPACITY_FUZZY, ["s_muni"], ["s_muni"]))
+        outside = each_numbered(rest.where("not _known"), key, ["s_name", "s_addr"], lambda texts, text: fuzzy_texts(texts, m.select("m_name", "m_addr", "m_id"), text, CAPACITY_FUZZY))
         return inside.unionByName(outside)
 
     tiers = [unavailable, by_id, exact, same_key, one_name, same_name, in_pool, fuzzy]

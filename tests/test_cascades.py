@@ -271,3 +271,35 @@ def test_copies_are_compared_once(spark, monkeypatch, name):
     twice = master.withColumn(ids[name], F.explode(F.array(ids[name], *(F.concat(F.lit(f"z{i}-"), ids[name]) for i in range(7)))))
     _, most, _ = run(source, twice)
     assert 0 < few and more <= 1.2 * few and most <= 3 * few, (few, more, most)
+
+
+def test_keys_are_made_once_for_each_text(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        made.add(len(x))
+        return text.nfkc.func(x)
+
+    counted.__annotations__ = {"x": "pd.Series", "return": "pd.Series"}
+    monkeypatch.setattr(text, "nfkc", F.pandas_udf(counted, "string", F.PandasUDFType.SCALAR))
+    rows = spark.range(5000).selectExpr("id", "if(id % 4 = 0, null, concat('town ', id % 2, '市')) town", "concat('Hall ', id % 3) name", "concat('熊本県八代市', id % 2) place")
+    got = {(r["k_muni"], r["k_name"], r["k_addr"]) for r in linkage._keyed(rows, "town", "name", "place", "k_", infer=True).collect()}
+    assert got == {(t, f"hall{n}", f"八代市{p}") for n in range(3) for t, p in (("八代市", 0), ("town0市", 0), ("town1市", 1))}
+    assert 0 < made.value < 500
+
+
+def test_best_names_equal_all_pairs(spark):
+    """Several rows an address, ties, addresses that the highest score fills and others that it does not."""
+    import random
+
+    r = random.Random(4)
+    names = ["".join(r.choices("ab町", k=r.randint(3, 7))) for _ in range(40)]
+    master = [(r.choice(names), f"a{r.randrange(4)}", f"m{k:03}") for k in range(300)]
+    left, right = spark.createDataFrame([(x,) for x in names[:25]], "s_name string"), spark.createDataFrame(master, "m_name string, m_addr string, m_id string")
+    got = sorted((x["s_name"], x["m_addr"], x["m_id"], x["name_score"]) for x in linkage.best_names(left.distinct(), right, [], 3).collect())
+    want = []
+    for s in set(names[:25]):
+        for a in {m[1] for m in master}:
+            near = sorted((-ratio(s, m), i) for m, b, i in master if b == a and ratio(s, m) >= 0.8)
+            want += [(s, a, i, -n) for n, i in near[:3]]
+    assert got == sorted(want) and len(want) > 100
