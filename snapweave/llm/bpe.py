@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapweave.llm.shared import BLOCK_BYTES, Units, blocks, code_points, record, unit_starts, utf8
+from snapweave.llm.shared import BLOCK_BYTES, Units, blocks, code_points, encode_units, record, unit_starts, utf8
 from snapweave.llm.tokens import WORD_BPE, tokenizer
 
 LEAF = 4096  # bytes of a text that is one leaf, and characters of a part
@@ -89,11 +89,15 @@ def _join(text: str, left: Part, right: Part, window: Part, encode) -> Part:
 
 
 class Encoder:
-    """Encodes blocks of texts; long ones through the tree. Leaves, windows and short texts are encoded in units between safe cuts, which it remembers."""
+    """Encodes blocks of texts; long ones through the tree. Leaves, windows and short texts are encoded in units between safe cuts, which it remembers.
 
-    def __init__(self, name: str = WORD_BPE, long_text: int = LEAF, leaf: int = LEAF):
+    Only leaves and windows need the offsets of their tokens; where few texts are long, `offsets` false leaves them out for the others.
+    """
+
+    def __init__(self, name: str = WORD_BPE, long_text: int = LEAF, leaf: int = LEAF, offsets: bool = True):
         t = tokenizer(name)
         self.long_text, self.leaf = long_text, leaf
+        self.plain = None if offsets else Units(lambda texts: [one.ids for one in t.encode_batch_fast(texts, add_special_tokens=False)])
         # of each token its id, start and end
         self.units = Units(lambda texts: [[x for i, (s, e) in zip(one.ids, one.offsets, strict=True) for x in (i, s, e)] for one in t.encode_batch(texts, add_special_tokens=False)])
 
@@ -142,8 +146,13 @@ class Encoder:
         return [row[0].ids for row in rows]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        tokens, _, counts = self._tokens([b"" if len(x) > self.long_text else x for x in texts])
-        out = np.split(tokens[:, 0], np.cumsum(counts)[:-1]) if texts else []
+        short = [b"" if len(x) > self.long_text else x for x in texts]
+        if self.plain:
+            ids, counts = encode_units(short, self.plain)
+        else:
+            tokens, _, counts = self._tokens(short)
+            ids = tokens[:, 0]
+        out = np.split(ids, np.cumsum(counts)[:-1]) if texts else []
         long = [k for k, x in enumerate(texts) if len(x) > self.long_text]
         for k, ids in zip(long, self.trees([texts[k].decode("utf-8") for k in long]), strict=True):
             out[k] = ids
@@ -156,9 +165,9 @@ def encode_long(text: str, name: str = WORD_BPE, leaf: int = LEAF) -> np.ndarray
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str, long_text: int) -> Encoder:
+def encoder(name: str, long_text: int, offsets: bool = True) -> Encoder:
     """One encoder for a worker process, so that later tasks use what earlier ones remember."""
-    return Encoder(name, long_text)
+    return Encoder(name, long_text, offsets=offsets)
 
 
 @lru_cache(maxsize=2)

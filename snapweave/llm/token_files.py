@@ -142,7 +142,7 @@ def write(docs: DataFrame, folder: str, name: str = BYTE_BPE, end_id: int = 2, f
     n = partitions(spark)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(name, 1 << 16)
+        enc = encoder(name, 1 << 16, offsets=False)
         width = 2 if tokenizer(name).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         first, size = None, 0

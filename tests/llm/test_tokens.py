@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -128,3 +129,15 @@ def test_leaves_and_windows_cost_only_their_new_units():
 def test_missing_vocabulary():
     with pytest.raises(Exception):
         tokenizer("/nowhere.json")
+
+
+def test_ids_without_offsets():
+    """Texts below the long ones cost the tokenizer no offsets; the ids are those of one encoding either way."""
+    t = tokenizer(BYTE_BPE)
+    r = random.Random(8)
+    texts = ["", "one <|endoftext|> two", *(" ".join(r.choices(["über", "the", "x1", "…", "don't", "a\n\n b"], k=k)) for k in (5, 60, 900))]
+    for e in (bpe.Encoder(BYTE_BPE, 2000, 300, offsets=False), bpe.Encoder(BYTE_BPE, 2000, 300)):
+        assert [x.tolist() for x in e([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    e = bpe.Encoder(BYTE_BPE, 2000, 300, offsets=False)
+    e([x.encode() for x in texts[:-1]])
+    assert not len(e.units.keys) and len(e.plain.keys)
